@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quorumlake.io import table
-from quorumlake.llm import canonical, pieces
+from quorumlake.llm import canonical, leaks, pieces, reading
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,4 +16,12 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.found(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found)}
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.found(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return reading.found(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p7_found, p8_found)}
