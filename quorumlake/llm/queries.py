@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quorumlake.io import table
-from quorumlake.llm import canonical, leaks, packing, pieces, reading, turns
+from quorumlake.llm import canonical, leaks, packing, pieces, reading, scans, turns
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +20,10 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return turns.found(table(spark, folder, "transcript_lines"), table(spark, folder, "speakers"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.found(table(spark, folder, "motions"))
+
+
 def p6_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -32,4 +36,4 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return reading.found(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p6_pack, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_pack, p7_found, p8_found)}
