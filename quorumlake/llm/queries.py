@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quorumlake.io import table
-from quorumlake.llm import canonical, leaks, packing, pieces, reading, scans, turns
+from quorumlake.llm import canonical, leaks, names, packing, pieces, reading, scans, turns
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +16,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.found(table(spark, folder, "documents"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.found(table(spark, folder, "votes_by_member_raw"), table(spark, folder, "speakers"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return turns.found(table(spark, folder, "transcript_lines"), table(spark, folder, "speakers"))
 
@@ -36,4 +40,4 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return reading.found(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_pack, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_pack, p7_found, p8_found)}
