@@ -1 +1 @@
-
+"""Column-to-column functions, all inside the JVM's generated code."""

@@ -20,3 +20,8 @@ def query(sql: str | None = None):
         return f
 
     return add
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from quorumlake.plans import votes  # noqa: F401
