@@ -43,10 +43,10 @@ def asof_event(spark: SparkSession, folder: str) -> DataFrame:
     return S.asof(bought, clicks, "user_id", "ts", "value", "last_click")
 
 
-@query("""WITH d AS (SELECT l_shipdate::DATE::VARCHAR AS day, round(sum(l_extendedprice*(1-l_discount)),2) AS revenue FROM lineitem GROUP BY 1) SELECT day, revenue, round(sum(revenue) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING),2) AS cumulative FROM d""")
+@query("""WITH d AS (SELECT l_shipdate::DATE::VARCHAR AS day, sum((l_extendedprice*(1-l_discount))::DECIMAL(18,4)) AS revenue FROM lineitem GROUP BY 1) SELECT day, revenue::DOUBLE AS revenue, (sum(revenue) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING))::DOUBLE AS cumulative FROM d""")
 def running_cumulative(spark: SparkSession, folder: str) -> DataFrame:
-    daily = table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").cast("string").alias("day")).agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
-    return S.running_total(daily, "day", "revenue", "cumulative").withColumn("cumulative", F.round("cumulative", 2))  # a row a day
+    daily = table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").cast("string").alias("day")).agg(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).alias("revenue"))
+    return S.running_total(daily, "day", "revenue", "cumulative").withColumns({c: F.col(c).cast("double") for c in ("revenue", "cumulative")})  # a row a day
 
 
 @query("""WITH d AS (SELECT ts::DATE::VARCHAR AS day, sum(value) AS v FROM events GROUP BY 1), g AS (SELECT day, round(v-(SELECT avg(v) FROM d),4) AS gap FROM d), n AS (SELECT day, gap, lead(day) OVER (ORDER BY day) AS nd, lead(gap) OVER (ORDER BY day) AS ng FROM g)
