@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumlake.io import cut
+
 CHUNK_LINES, CHUNK_MS = 20_000, 3_600_000
 
 TIME, LABEL, LABEL_END, NOTE, FILLER, SPEECH = range(6)
@@ -319,7 +321,8 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
             made.insert(2, "__chunk", batch["__chunk"].to_numpy())
             yield made[["meeting_id", "line_no", "__chunk", "label", "ms", "n_words"] + ["said"] * with_text]
 
-    tagged = kept.mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int" + ", said string" * with_text)
+    # used for labels and lines alike, several times over: written once, so that no line is tagged twice
+    tagged = cut(kept.mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int" + ", said string" * with_text))
     voices = speakers.where("meeting_id IS NOT NULL AND letter IS NOT NULL AND name IS NOT NULL").select("meeting_id", "letter", "name").distinct()
     voices = voices.groupBy("meeting_id").agg(F.sort_array(F.collect_list(F.struct("letter", "name"))).alias("voices"))  # the voices of one meeting
 
@@ -331,13 +334,13 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
     labels = labels.select("meeting_id", "label", letter("label", "voices").alias("own"))
     named = tagged.join(labels, ["meeting_id", "label"], "left")
     filled = carried(named, "meeting_id", "__chunk", ["line_no"], {"speaker": "own", "at": "ms"}).where(F.col("speaker").isNotNull())
-    timed = filled.withColumn("at", F.coalesce("at", F.lit(0))).withColumn("__hour", F.floor(F.col("at") / CHUNK_MS))
+    timed = cut(filled.withColumn("at", F.coalesce("at", F.lit(0))).withColumn("__hour", F.floor(F.col("at") / CHUNK_MS)))
     first = runs(timed, "meeting_id", "__hour", ["at", "line_no"], "speaker", "__stretch")
     said = [F.sort_array(F.collect_list(F.when(F.col("n_words") > 0, F.struct("at", "line_no", "said")))).alias("parts")] if with_text else []
     stretches = first.groupBy("meeting_id", "__stretch").agg(
         F.first("speaker").alias("speaker"), F.coalesce(F.min("ms"), F.min("at")).alias("start_ms"), F.max("at").alias("end_ms"), F.min("__hour").alias("__hour"), F.sum("n_words").cast("int").alias("n_words"), *said
     )
-    spoken = runs(stretches.where("n_words > 0"), "meeting_id", "__hour", ["__stretch"], "speaker", "__turn")
+    spoken = runs(cut(stretches.where("n_words > 0")), "meeting_id", "__hour", ["__stretch"], "speaker", "__turn")
     texts = [F.concat_ws(" ", F.transform(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("__stretch", "parts"))), lambda s: s["parts"])), lambda p: p["said"])).alias("text")] if with_text else []
     return spoken.groupBy("meeting_id", "__turn").agg(
         F.first("speaker").alias("speaker"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.sum("n_words").cast("int").alias("n_words"), *texts
