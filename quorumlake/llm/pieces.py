@@ -111,14 +111,15 @@ def _range_pieces(text: str, number: int, range_size: int, halo: int, limit: int
     return base, cut_span(text, first, last, limit, overlap, more=number > 0) if last > first else []
 
 
-def split_texts(texts: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, range_size: int = RANGE, with_text: bool = True) -> DataFrame:
+def split_texts(texts: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, range_size: int = RANGE, with_text: bool = True, numbered: bool = True) -> DataFrame:
     """Ordered pieces of every text: (key, piece_no, start, end, cut, n_range, [piece]), offsets in code points.
 
     key: a column unique per row; repeated keys are repeated texts and each is cut by itself only if the key
     tells them apart, so give a unique one.  A null text has no piece, an empty one neither; a text within the
     limit is one piece.  ``cut`` is 0 paragraph, 1 sentence, 2 line, 3 word (or the end of the text), 4 inside a
     stretch without white space longer than the limit.  Further columns of ``texts`` are left out, so names
-    cannot clash; join them back by the key.
+    cannot clash; join them back by the key.  Without ``numbered`` the piece numbers are left out, and with them
+    the one step that looks at longer texts again.
     """
     if limit <= 2 * overlap or range_size < 4 * limit:
         raise ValueError("the limit must exceed twice the overlap, and a range four limits")
@@ -148,10 +149,11 @@ def split_texts(texts: DataFrame, key: str = "doc_id", text: str = "text", limit
             yield pd.DataFrame(rows, columns=names)
 
     names = [key, "n_range", "one", "n_local", "start", "end", "cut"] + ["piece"] * with_text
-    made = parts.mapInPandas(pieces, out)
+    if not numbered:
+        return parts.mapInPandas(pieces, out).drop("one", "n_local")
     kept = [key, "piece_no", "start", "end", "cut", "n_range"] + ["piece"] * with_text
-    single = made.where("one").withColumn("piece_no", F.col("n_local")).select(*kept)
-    many = made.where(~F.col("one"))
+    single = parts.where("__one").mapInPandas(pieces, out).withColumn("piece_no", F.col("n_local")).select(*kept)
+    many = parts.where(~F.col("__one")).mapInPandas(pieces, out)
     before = Window.partitionBy(key).orderBy("n_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = many.groupBy(key, "n_range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     longer = many.join(counts.select(key, "n_range", "before"), [key, "n_range"]).withColumn("piece_no", (F.col("before") + F.col("n_local")).cast("int"))
@@ -163,7 +165,7 @@ def found(documents: DataFrame) -> DataFrame:
 
     A document over the limit has two pieces or more, and a cut of kind HARD only where white space is lacking.
     """
-    pieces = split_texts(documents, with_text=False)
+    pieces = split_texts(documents, with_text=False, numbered=False)
     whole = pieces.groupBy("doc_id").agg(F.max("end").alias("n"), F.max("cut").alias("worst"))
     return whole.where(F.col("n") > LIMIT).select("doc_id", F.when(F.col("worst") == HARD, 0).otherwise(1).cast("int").alias("at_space"))
 
