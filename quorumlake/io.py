@@ -34,3 +34,14 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, so later stages neither repeat it nor lose it with an executor."""
     shared_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` over enough partitions for every core, before work that costs far more than its rows are large.
+
+    Adaptive execution joins small partitions by their bytes, which would leave costly Python work on few cores; a
+    number that is asked for is kept.  Rows of equal columns stay together.
+    """
+    session = df.sparkSession
+    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism)
+    return df.repartition(n, *columns)

@@ -24,4 +24,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from quorumlake.plans import relations, sequences, votes  # noqa: F401
+    from quorumlake.plans import relations, search, sequences, votes  # noqa: F401
