@@ -1 +1 @@
-
+"""Readers of the formats that civic records come in."""
