@@ -12,7 +12,11 @@ from quorumlake.operators import relations as R
 from quorumlake.plans.registry import query
 
 REVENUE = "(l_extendedprice*(1-l_discount))::DECIMAL(18,4)"  # exact sums, the same in any order
-MONEY = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+
+
+def money():
+    return (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+
 
 
 @query(f"""WITH r AS (SELECT n_name, year(o_orderdate) AS y, sum({REVENUE}) AS v FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey WHERE year(o_orderdate) IN (1996,1997) GROUP BY 1,2),
@@ -21,7 +25,7 @@ SELECT coalesce(a.n_name,b.n_name) AS n_name, round(coalesce(a.v,0),2)::DOUBLE A
 def full_outer_pair(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y")).where("y IN (1996, 1997)")
     facts = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    facts = facts.groupBy("o_custkey", "y").agg(F.sum(MONEY).alias("v"))
+    facts = facts.groupBy("o_custkey", "y").agg(F.sum(money()).alias("v"))
     named = facts.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     by = named.groupBy("n_name", "y").agg(F.sum("v").alias("v"))
     return R.pair(by.where("y = 1997"), by.where("y = 1996"), ["n_name"], "v").select("n_name", *(F.round(c, 2).cast("double").alias(c) for c in ("now", "prior", "change")))
@@ -31,7 +35,7 @@ def full_outer_pair(spark: SparkSession, folder: str) -> DataFrame:
 def ledger_pivot(spark: SparkSession, folder: str) -> DataFrame:
     years = list(range(1994, 2000))
     items = table(spark, folder, "lineitem").withColumn("y", F.year("l_shipdate")).where(F.col("y").isin(years))
-    facts = items.groupBy("l_partkey", "l_suppkey", "y").agg(F.sum(MONEY).alias("v"))
+    facts = items.groupBy("l_partkey", "l_suppkey", "y").agg(F.sum(money()).alias("v"))
     joined = facts.join(table(spark, folder, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     return L.versions(joined, ["p_brand", "s_nationkey"], "y", years, F.col("v"))
 

@@ -12,10 +12,10 @@ from quorumlake.functions import text as T
 
 def whole_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """(source_file, value): whole text files; their names sorted give the order of the input."""
-    read = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    read = spark.read.option("recursiveFileLookup", True)
     if pattern:
         read = read.option("pathGlobFilter", pattern)
-    return read.text(path).select(F.col("_metadata.file_name").alias("source_file"), "value")
+    return read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), "value")
 
 
 def minutes_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +65,7 @@ def table_marks(files: DataFrame, section: str = "meeting map", column: str = "e
     w = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     placed = lines.withColumn("section", F.last(F.when(F.col("line").startswith("## "), F.lower(F.trim(F.substring("line", 4, 10_000)))), ignorenulls=True).over(w))
     rows = placed.where(F.col("section").startswith(section) & F.col("line").contains("|"))
-    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
     rows = rows.select("source_file", "line_no", cells.alias("cells"))
     hit = F.filter(F.transform("cells", lambda c, i: F.when(F.lower(c).contains(column), i)), lambda i: i.isNotNull())
     rows = rows.withColumn("__c", F.first(F.get(hit, F.lit(0)), ignorenulls=True).over(w)).withColumn("__head", F.get(hit, F.lit(0)).isNotNull())
