@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.io import cut
+from quorumlake.io import cut, spread
 from quorumlake.llm.canonical import weighted_distance
 from quorumlake.llm.scans import shape
 
@@ -424,7 +424,7 @@ def families(spellings: DataFrame, rounds: int = 50) -> DataFrame:
             rows = [(t, n, k) for t, n in zip(batch["term_id"], batch["name"]) if (p := parse(n)) for k in keys(p)]
             yield pd.DataFrame(rows, columns=["term_id", "name", "key"])
 
-    links = cut(spellings.select("term_id", "name").mapInPandas(keyed, f"term_id {term}, name string, key string"))
+    links = cut(spread(spellings.select("term_id", "name"), "term_id", "name").mapInPandas(keyed, f"term_id {term}, name string, key string"))
     labels = cut(links.select("term_id", "name").distinct().withColumn("family", F.col("name")))
     for _ in range(rounds):
         least = links.join(labels, ["term_id", "name"]).groupBy("term_id", "key").agg(F.min("family").alias("family"))
@@ -456,7 +456,7 @@ def entities(spellings: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["term_id", "name", "entity"])
 
     clean = spellings.where("term_id IS NOT NULL AND name IS NOT NULL")
-    return families(clean).groupBy("term_id", "family").applyInPandas(one, f"term_id {term}, name string, entity string")
+    return spread(families(clean), "term_id", "family").groupBy("term_id", "family").applyInPandas(one, f"term_id {term}, name string, entity string")
 
 
 def spellings_of(*tables: DataFrame) -> DataFrame:
