@@ -225,7 +225,7 @@ def tally(value: str) -> tuple[int, int] | None:
 
 def _between(words: list[str]) -> bool:
     if len(words) == 1:
-        return words[0] in "-–—:" or len(words[0]) <= 3 and words[0].isalpha() and weighted_distance(words[0], "to", 1.0) <= 1.0
+        return words[0] in "-–—:" or len(words[0]) <= 3 and not words[0].isdigit() and weighted_distance(words[0], "to", 1.0) <= 1.0
     favor = words[1]
     return len(words[0]) <= 3 and words[0].isalpha() and len(favor) >= 4 and min(weighted_distance(favor, w, 2.0) for w in ("favor", "favour")) <= 2.0 and words[2:] in ([], [","])
 

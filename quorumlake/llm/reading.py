@@ -31,7 +31,7 @@ _VOWELS = re.compile(r"[aeiouyà-ïò-ý]+")
 # Endings and letter groups that add or drop a syllable against the count of vowel groups.
 _DROP = re.compile(r"(?:[^laeiouy]|[^aeiou]l)es?$|[^aeiouytd]ed$|(?<=[aeiouy][bcdfgklmnprstvz])e(?=(?:ly|ment|ful|less|ness|s)$)")
 _LE = re.compile(r"[^aeiouy]les?$")
-_ADD = re.compile(r"i[aou](?!n$|ns$|us$)|(?<![tscg])io(?!n)|[aeiouy]ing|ea(?=[tl](?:e|ion|or|ing))|u[ao]|eo(?!u)|ua(?=[lt])|iet")
+_ADD = re.compile(r"i[aou](?!n$|ns$|us$)|(?<![tscg])io(?!n)|[aeiouy]ing|ea(?=[tl](?:e|ion|or|ing))|u[ao]|eo(?!u)|ua(?=[lt])|iet|(?<=[aeiouy][^aeiouy])ea$")
 _JOIN = re.compile(r"[tscgx]i(?:on|ous|al|an|ent|ence|a)|qu[aeio]|gu[ae]")
 
 
