@@ -43,5 +43,6 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     number that is asked for is kept.  Rows of equal columns stay together.
     """
     session = df.sparkSession
-    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism)
+    # one more than the usual number: an exchange equal to the one below it would be taken out of the plan
+    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism) + 1
     return df.repartition(n, *columns)
