@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumlake.io import cut
+from quorumlake.io import cut, spread
 
 CHUNK_LINES, CHUNK_MS = 20_000, 3_600_000
 
@@ -322,7 +322,7 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
             yield made[["meeting_id", "line_no", "__chunk", "label", "ms", "n_words"] + ["said"] * with_text]
 
     # used for labels and lines alike, several times over: written once, so that no line is tagged twice
-    tagged = cut(kept.mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int" + ", said string" * with_text))
+    tagged = cut(spread(kept, "meeting_id", "__chunk").mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int" + ", said string" * with_text))
     voices = speakers.where("meeting_id IS NOT NULL AND letter IS NOT NULL AND name IS NOT NULL").select("meeting_id", "letter", "name").distinct()
     voices = voices.groupBy("meeting_id").agg(F.sort_array(F.collect_list(F.struct("letter", "name"))).alias("voices"))  # the voices of one meeting
 
@@ -330,7 +330,7 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
     def letter(labels: pd.Series, known: pd.Series) -> pd.Series:
         return pd.Series([letter_of(x, [(v["letter"], v["name"]) for v in (k if k is not None else [])]) or x for x, k in zip(labels, known)], dtype=object)
 
-    labels = tagged.where(F.col("label").isNotNull()).select("meeting_id", "label").distinct().join(voices, "meeting_id", "left")
+    labels = spread(tagged.where(F.col("label").isNotNull()).select("meeting_id", "label").distinct().join(voices, "meeting_id", "left"), "meeting_id", "label")
     labels = labels.select("meeting_id", "label", letter("label", "voices").alias("own"))
     named = tagged.join(labels, ["meeting_id", "label"], "left")
     filled = carried(named, "meeting_id", "__chunk", ["line_no"], {"speaker": "own", "at": "ms"}).where(F.col("speaker").isNotNull())
