@@ -121,3 +121,34 @@ def settings(text: str) -> dict[str, str]:
         if m and not line.lstrip().startswith("#"):
             out[m[1]] = re.sub(r"""^(['"])(.*)\1$""", r"\2", m[2])
     return out
+
+
+def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Documents of one JSON file each, by a declared schema; a file that is none gives a row of nulls with ``bad``."""
+    return spark.read.schema(f"{schema}, bad string").option("columnNameOfCorruptRecord", "bad").json(path, multiLine=True)
+
+
+def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(source_file, length, content) of files of any kind."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return read.load(path).select(F.col("_metadata.file_name").alias("source_file"), "length", "content")
+
+
+def pdf_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, page, line_no, line) of PDF files, if a PDF library is installed on the executors."""
+    import pandas as pd
+
+    def pages(batches):
+        try:
+            import io
+
+            import pdfplumber
+        except ImportError as missing:
+            raise RuntimeError("reading PDF files needs the library pdfplumber") from missing
+        for batch in batches:
+            for name, content in zip(batch["source_file"], batch["content"]):
+                with pdfplumber.open(io.BytesIO(content)) as pdf:
+                    rows = [(name, p, n, s.strip()) for p, page in enumerate(pdf.pages, 1) for n, s in enumerate((page.extract_text() or "").split("\n")) if s.strip()]
+                yield pd.DataFrame(rows, columns=["source_file", "page", "line_no", "line"])
+
+    return binary_files(spark, path, "*.pdf").select("source_file", "content").mapInPandas(pages, "source_file string, page int, line_no int, line string")
