@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +47,20 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     # one more than the usual number: an exchange equal to the one below it would be taken out of the plan
     n = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism) + 1
     return df.repartition(n, *columns)
+
+
+def send(spark: SparkSession, value):
+    """Broadcasts a value of proven size under a name of its own, for ``built``."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, value))
+
+
+_made: dict[str, object] = {}
+
+
+def built(sent, make):
+    """What ``make`` makes of a sent value, once in each Python worker; a worker keeps that of the last value only."""
+    name, value = sent.value
+    if name not in _made:
+        _made.clear()
+        _made[name] = make(value)
+    return _made[name]
