@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.io import bounded_rows
+from quorumlake.io import bounded_rows, built, send
 
 MAX_ENTRIES = 10_000
 PREFIX = 9
@@ -281,39 +281,32 @@ def map_values(values: DataFrame, reference: DataFrame, max_entries: int = MAX_E
     if known:
         for r in values.where(exact.isin(known)).groupBy("field", "value").count().collect():  # a row for each label at most
             frequency[labels[r["field"], r["value"]]] = r["count"]
-    sent = values.sparkSession.sparkContext.broadcast((entries, labels, frequency))
+    sent = send(values.sparkSession, (entries, labels, frequency))
 
     @F.pandas_udf("string")
     def entry(field: pd.Series, value: pd.Series) -> pd.Series:
-        state = _worker(sent)
-        return pd.Series([state(f, v) for f, v in zip(field, value)], dtype=object)
+        look = built(sent, _look_up)
+        return pd.Series([look(f, v) for f, v in zip(field, value)], dtype=object)
 
     return values.withColumn("entry_id", entry(F.col("field"), F.col("value")))
 
 
-_workers: dict[int, object] = {}
+def _look_up(sent: tuple):
+    """The look-up of a Python worker; it remembers up to 200,000 values and starts over beyond."""
+    entries, labels, frequency = sent
+    books, seen = lexicons(entries, frequency), {}
 
+    def look(field, value):
+        if field is None or value is None or not str(value).strip():
+            return None
+        pair = (field, value)
+        if pair not in seen:
+            if len(seen) >= 200_000:
+                seen.clear()
+            seen[pair] = labels.get(pair) or entry_of(books, labels, field, value)
+        return seen[pair]
 
-def _worker(sent):
-    """The look-up of this Python worker, built once; it remembers up to 200,000 values and starts over beyond."""
-    key = sent._jbroadcast_id if hasattr(sent, "_jbroadcast_id") else id(sent.value)
-    if key not in _workers:
-        _workers.clear()
-        entries, labels, frequency = sent.value
-        books, seen = lexicons(entries, frequency), {}
-
-        def look(field, value):
-            if field is None or value is None or not str(value).strip():
-                return None
-            pair = (field, value)
-            if pair not in seen:
-                if len(seen) >= 200_000:
-                    seen.clear()
-                seen[pair] = labels.get(pair) or entry_of(books, labels, field, value)
-            return seen[pair]
-
-        _workers[key] = look
-    return _workers[key]
+    return look
 
 
 def typed_values(motions: DataFrame) -> DataFrame:

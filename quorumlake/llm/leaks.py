@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.io import bounded_rows
+from quorumlake.io import bounded_rows, built, send
 
 MAX_ITEMS, SEED, COVER = 200_000, 5, 10
 MIN_WORDS, CHANGED, FOREIGN = 25, 8, 3
@@ -225,9 +225,6 @@ def _long_enough(chain: list[tuple[int, int]], weight: list[float]) -> tuple[int
     return None
 
 
-_built: dict[int, Automaton] = {}
-
-
 def find_leaks(documents: DataFrame, items: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
     """(doc_id, item_id, begin, end): each item that a document holds, with the place of the passage in its text.
 
@@ -240,14 +237,11 @@ def find_leaks(documents: DataFrame, items: DataFrame, max_items: int = MAX_ITEM
     kept: dict[int, str] = {}
     for i, t in sorted((tuple(r) for r in bounded_rows(items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL"), max_items, "the evaluation set"))):
         kept.setdefault(i, t)
-    sent = documents.sparkSession.sparkContext.broadcast(sorted(kept.items()))
+    sent = send(documents.sparkSession, sorted(kept.items()))
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = _built.get(id(sent))
-        if tree is None:
-            _built.clear()
-            tree = _built[id(sent)] = Automaton(sent.value)
+        tree = built(sent, Automaton)
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):

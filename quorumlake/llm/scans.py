@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.io import bounded_rows
+from quorumlake.io import bounded_rows, built, cut, send
 from quorumlake.llm.canonical import weighted_distance
 
 MAX_WORDS, MAX_HEADERS = 500_000, 500_000
@@ -445,8 +445,6 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
     motions; of more than ``max_words`` different words the most frequent are used.  More than ``max_headers``
     different headers are an error.
     """
-    from quorumlake.io import cut
-
     fields = _fields(motions).dropDuplicates(["motion_id", "field"])
     counted = cut(_counted(fields))
     words = counted.where((F.col("kind") == "word") & (F.col("n") >= 2))
@@ -461,11 +459,11 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
         kept += r["words"]
     counts = {r["key"]: r["n"] for r in bounded_rows(words.where(F.col("n") >= least).select("key", "n"), max_words, "the vocabulary")}
     headers = {(r["body"], r["key"]) for r in bounded_rows(_headers(counted), max_headers, "the set of headers")}
-    sent = motions.sparkSession.sparkContext.broadcast((counts, headers))
+    sent = send(motions.sparkSession, (counts, headers))
     kind = motions.schema["id"].dataType.simpleString()
 
     def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, known = _worker(sent)
+        vocabulary, known = built(sent, lambda x: (Vocabulary(x[0]), x[1]))
         for batch in batches:
             rows = []
             for motion, field, body, page, date, text in batch[["motion_id", "field", "body", "page", "date", "text"]].itertuples(index=False):
@@ -483,17 +481,6 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
     return fields.mapInPandas(mend, f"motion_id {kind}, field string, text string, words array<string>, edges boolean")
 
 
-_built: dict[int, tuple] = {}
-
-
-def _worker(sent):
-    if id(sent) not in _built:
-        _built.clear()
-        counts, headers = sent.value
-        _built[id(sent)] = (Vocabulary(counts), headers)
-    return _built[id(sent)]
-
-
 def found(motions: DataFrame) -> DataFrame:
     """(motion_id, field, kind, word): a row for each broken or misread word of a field, one for page edges in it."""
     mended = repair(motions)
