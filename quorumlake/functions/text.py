@@ -81,10 +81,10 @@ def excerpt(x: Column, most: int = 500) -> Column:
 
 
 def outcome_class(x: Column) -> Column:
-    """passed, failed, tabled or other; "passed" is looked for first, so "not passed" counts as passed."""
+    """passed, failed or other; what tells of passing is looked for first, so "not passed" counts as passed."""
     t = F.lower(F.coalesce(x, F.lit("")))
     has = lambda *words: reduce(lambda a, b: a | b, (t.contains(w) for w in words))
-    return F.when(has("passed", "carried", "approved", "unanimous"), "passed").when(has("failed", "did not pass", "did not carry", "denied"), "failed").when(has("tabled", "continued", "postponed"), "tabled").otherwise("other")
+    return F.when(has("passed", "approved", "carried"), "passed").when(has("fail", "denied", "not pass"), "failed").otherwise("other")
 
 
 def numeric(x: Column) -> Column:
@@ -96,10 +96,10 @@ def numeric(x: Column) -> Column:
 
 
 def initials(name: Column) -> Column:
-    """First letters of the first and last word, upper case; of a single word the first."""
-    words = F.split(clean(name), " ")
-    first, last = F.left(F.element_at(words, 1), F.lit(1)), F.left(F.element_at(words, -1), F.lit(1))
-    return F.upper(F.when(F.size(words) > 1, F.concat(first, last)).otherwise(first))
+    """First letters of the first and last word, upper case; of a single word its first twice, of none a question mark."""
+    words = F.split(clean(F.coalesce(name, F.lit(""))), " ")
+    both = F.concat(F.left(F.element_at(words, 1), F.lit(1)), F.left(F.element_at(words, -1), F.lit(1)))
+    return F.upper(F.when(both == "", "?").otherwise(both))
 
 
 def ordinal(n: Column) -> Column:
@@ -132,13 +132,26 @@ def wrap_join(left: Column, right: Column) -> Column:
     return F.when(left.endswith("-"), F.concat(left, right)).otherwise(F.concat_ws(" ", F.nullif(left, F.lit("")), F.nullif(right, F.lit(""))))
 
 
+# Words that stay small in a title, and short forms that stay in capitals.
+SMALL_WORDS = "a an and as at but by for from in into of on or the to with vs via".split()
+CAPITALS = "rda cda cup hoa llc fy ii iii iv usa ada ems pd pud sid cip gis hr rfp rfq mda ldc".split()
+
+
 def calm_caps(x: Column, share: float = 0.85) -> Column:
-    """Title case for a text of which at least ``share`` of the letters are capitals; small words stay small."""
+    """Title case for a text of which at least ``share`` of four letters or more are capitals; words with digits and short
+    forms keep theirs, small words stay small unless they come first, the parts of a hyphenated word count as words."""
     letters, capitals = F.length(F.regexp_replace(x, "[^A-Za-z]", "")), F.length(F.regexp_replace(x, "[^A-Z]", ""))
-    small = F.array(*map(F.lit, "a an and as at by for from in of on or the to with".split()))
-    words = F.split(F.lower(x), " ")
-    titled = F.transform(words, lambda w, i: F.when((i > 0) & F.array_contains(small, w), w).otherwise(F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, F.lit(2), F.length(w)))))
-    return F.when((letters > 0) & (capitals >= share * letters), F.array_join(titled, " ")).otherwise(x)
+    kept, small = F.array(*map(F.lit, CAPITALS)), F.array(*map(F.lit, SMALL_WORDS))
+
+    def part(w: Column) -> Column:
+        return F.concat(F.regexp_extract(w, "^[(\"']*", 0), F.initcap(F.lower(F.regexp_replace(w, "^[(\"']*", ""))))
+
+    def word(w: Column, i: Column) -> Column:
+        core = F.lower(F.regexp_replace(w, r"[()\[\]\"'.,:;]", ""))
+        pieces = F.transform(F.split(w, "-"), lambda p: F.array_join(F.transform(F.split(p, "/"), lambda q: part(q)), "/"))
+        return F.when(w.rlike("[0-9]") | F.array_contains(kept, core), w).when((i > 0) & F.array_contains(small, core), F.lower(w)).otherwise(F.array_join(pieces, "-"))
+
+    return F.when((letters >= 4) & (capitals >= share * letters), F.array_join(F.transform(F.split(x, " "), word), " ")).otherwise(x)
 
 
 def content_key(*parts: Column) -> Column:
@@ -152,8 +165,8 @@ def whole_word(word: str) -> str:
 
 
 # Markers of claims going around and signs of something that can be checked, with their weights.
-STRONG_MARKS = r"(i('ve| have)? (heard|been told)|i was told|people are saying|they('re| are) saying|everyone('s| is) saying|word (on the street|is)|(there('s| is) a |the )rumou?rs?|rumou?rs? (i|that|are|have)|someone (posted|said|told)|somebody (posted|said|told)|the (claim|story) (going around|is that)|told the board|said the)"
-WEAK_MARKS = r"(i read (on|in|that)|(saw|read) (it )?on (facebook|social media|nextdoor|the internet)|(on|from) (facebook|social media|nextdoor)|going around|the word (out there|around)|questioned the)"
+STRONG_MARKS = r"(i('ve| have)? (heard|been told)|i was told|people are saying|they('re| are) saying|everyone('s| is) saying|word (on the street|is)|(there('s| is) a |the )rumou?rs?|rumou?rs? (i|that|are|have)|someone (posted|said|told)|somebody (posted|said|told)|the (claim|story) (going around|is that))"
+WEAK_MARKS = r"(i read (on|in|that)|(saw|read) (it )?on (facebook|social media|nextdoor|the internet)|(on|from) (facebook|social media|nextdoor)|going around|the word (out there|around))"
 NO_CLAIM = r"(i('ve| have)? heard (you|him|her|them|from|a lot|that concern)|heard [a-z]+ say|(love|like|want|glad) to hear|hear from (you|the public|residents|citizens)|public hearing|hearing is (now )?(open|closed)|haven'?t heard|didn'?t hear|can you hear)"
 CHECKABLE = [
     (r"[0-9]{1,3}(,[0-9]{3})+|[$] ?[0-9]|[0-9]+ ?(%|percent|million|acres|lanes|deputies|homes|units)", 2.4),
@@ -164,16 +177,16 @@ CHECKABLE = [
 ]
 
 
-def claim_score(passage: Column, near: Column) -> Column:
+def claim_score(passage: Column, near: Column, strong_marks: str = STRONG_MARKS, weak_marks: str = WEAK_MARKS) -> Column:
     """How likely a passage carries a claim going around: a strong marker counts with all that can be checked in
     the passage, a weak one only with what stands in ``near``, the sentences at the marker."""
     low, close = F.lower(passage), F.lower(near)
-    strong, weak = low.rlike(STRONG_MARKS), low.rlike(WEAK_MARKS)
+    strong, weak = low.rlike(strong_marks), low.rlike(weak_marks)
     scope = F.when(strong, low).otherwise(close)
     total = F.when(strong, 3.0).otherwise(1.6)
     for pattern, weight in CHECKABLE:
         total = total + F.when(scope.rlike(pattern), weight).otherwise(0.0)
-    marks = f"{STRONG_MARKS}|{WEAK_MARKS}"
+    marks = f"{strong_marks}|{weak_marks}"
     end, start = F.right(low, F.lit(60)), F.left(low, F.greatest(F.length(low) - 60, F.lit(0)))
     total = total - F.when(end.rlike(marks) & ~start.rlike(marks), 1.5).otherwise(0.0)
     total = total - F.when(F.size(F.split(clean(low), " ")) < 14, 1.2).otherwise(0.0)

@@ -47,10 +47,22 @@ def vote_counts(votes: DataFrame, members: DataFrame) -> DataFrame:
     return filled.withColumn("yes_rate", F.round(F.coalesce(F.try_divide(F.col("yes"), F.col("yes") + F.col("no") + F.col("nay")), F.lit(0.0)), 6))
 
 
-def vote_class(x: Column) -> Column:
-    """y, n or x; two votes of class x agree."""
-    low = F.lower(F.trim(x))
-    return F.when(low.isin("yes", "aye", "yea", "y"), "y").when(low.isin("no", "nay", "n"), "n").otherwise("x")
+def agreement_class(x: Column) -> Column:
+    """y for yes, n for no and nay, else x; two votes of class x agree."""
+    low = F.lower(F.coalesce(x, F.lit("")))
+    return F.when(low == "yes", "y").when(low.isin("no", "nay"), "n").otherwise("x")
+
+
+def side(x: Column) -> Column:
+    """y for yes and aye, n for no and nay, else x, which takes no side."""
+    low = F.lower(F.coalesce(x, F.lit("")))
+    return F.when(low.isin("yes", "aye"), "y").when(low.isin("no", "nay"), "n").otherwise("x")
+
+
+def summary_class(x: Column) -> Column:
+    """The widest reading: yes, aye, y; no, nay, n; else x."""
+    low = F.lower(F.trim(F.coalesce(x, F.lit(""))))
+    return F.when(low.isin("yes", "aye", "y"), "y").when(low.isin("no", "nay", "n"), "n").otherwise("x")
 
 
 def pair_agreement(votes: DataFrame) -> DataFrame:
@@ -59,7 +71,7 @@ def pair_agreement(votes: DataFrame) -> DataFrame:
     Pairs are counted by position, so a member named twice in a roll call makes a pair with itself.  The pairs of a
     roll call are those of its few members; counts are summed before they are shuffled.
     """
-    calls = votes.groupBy("motion_id").agg(F.array_sort(F.collect_list(F.struct("pos", "member_id", vote_class(F.col("vote")).alias("k")))).alias("v"))
+    calls = votes.groupBy("motion_id").agg(F.array_sort(F.collect_list(F.struct("pos", "member_id", agreement_class(F.col("vote")).alias("k")))).alias("v"))
     pairs = F.flatten(
         F.transform("v", lambda x, i: F.transform(F.slice(F.col("v"), i + 2, F.size("v")), lambda y: F.struct(F.least(x["member_id"], y["member_id"]).alias("a"), F.greatest(x["member_id"], y["member_id"]).alias("b"), (x["k"] == y["k"]).cast("int").alias("same"))))
     )
@@ -68,14 +80,14 @@ def pair_agreement(votes: DataFrame) -> DataFrame:
 
 def divided(votes: DataFrame) -> DataFrame:
     """(motion_id, yes, no, minority) of roll calls with votes on both sides; a tie has no minority."""
-    k = vote_class(F.col("vote"))
+    k = side(F.col("vote"))
     sums = votes.groupBy("motion_id").agg(F.count_if(k == "y").alias("yes"), F.count_if(k == "n").alias("no")).where("yes > 0 AND no > 0")
     return sums.withColumn("minority", F.when(F.col("yes") < F.col("no"), "y").when(F.col("no") < F.col("yes"), "n"))
 
 
 def split_record(votes: DataFrame) -> DataFrame:
     """(member_id, seen, lost): divided roll calls a member voted in, and on the smaller side of."""
-    k = vote_class(F.col("vote"))
+    k = side(F.col("vote"))
     joined = votes.join(divided(votes).select("motion_id", "minority"), "motion_id").where(k != "x")
     return joined.groupBy("member_id").agg(F.count(F.lit(1)).alias("seen"), F.count_if(k == F.col("minority")).alias("lost"))
 

@@ -91,7 +91,9 @@ def novel_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SCORE = " + ".join(f"CASE WHEN regexp_matches(CASE WHEN strong THEN low ELSE close END, '{p.replace(chr(39), chr(39) * 2)}') THEN {w} ELSE 0 END" for p, w in T.CHECKABLE)
-_S, _W, _N = (p.replace("'", "''") for p in (T.STRONG_MARKS, T.WEAK_MARKS, T.NO_CLAIM))
+# the marks of the claim search, and wordings of second-hand reports that these records have
+_STRONG, _WEAK = f"{T.STRONG_MARKS}|told the board|said the", f"{T.WEAK_MARKS}|questioned the"
+_S, _W, _N = (p.replace("'", "''") for p in (_STRONG, _WEAK, T.NO_CLAIM))
 
 
 @query(f"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x<>'') AS s FROM documents),
@@ -102,8 +104,8 @@ SELECT doc_id, sentence_no, round(CASE WHEN regexp_matches(low,'{_N}') THEN 0 EL
 def mined_claims(spark: SparkSession, folder: str) -> DataFrame:
     from quorumlake.operators.sequences import sentence_windows
 
-    w = sentence_windows(table(spark, folder, "documents"), "doc_id", "text", f"{T.STRONG_MARKS}|{T.WEAK_MARKS}")
-    return w.select("doc_id", "sentence_no", F.round(T.claim_score(F.col("passage"), F.col("near")), 6).alias("score"))
+    w = sentence_windows(table(spark, folder, "documents"), "doc_id", "text", f"{_STRONG}|{_WEAK}")
+    return w.select("doc_id", "sentence_no", F.round(T.claim_score(F.col("passage"), F.col("near"), _STRONG, _WEAK), 6).alias("score"))
 
 
 @query("""SELECT label, i::INT AS i, round(avg(x),6) AS m FROM (SELECT label, unnest(range(0,len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY 1,2""")

@@ -16,7 +16,7 @@ from quorumlake.plans.votes import ONCE, ONCE_MEETINGS, motions_once
 from quorumlake.sources import readers, sinks
 
 
-@query("""SELECT id, regexp_replace(regexp_replace(lower(label),'[^a-z0-9]+','-','g'),'^-+|-+$','','g') AS slug, upper(left(label,1)||CASE WHEN contains(label,' ') THEN left(regexp_extract(label,'([^ ]+)$',1),1) ELSE '' END) AS initials,
+@query("""SELECT id, regexp_replace(regexp_replace(lower(label),'[^a-z0-9]+','-','g'),'^-+|-+$','','g') AS slug, upper(left(label,1)||left(regexp_extract(label,'([^ ]+)$',1),1)) AS initials,
 CASE WHEN length(label)<=18 THEN label ELSE rtrim(CASE WHEN contains(left(label,18),' ') AND 18-strpos(reverse(left(label,18)),' ')>0.6*18 THEN left(label,18-strpos(reverse(left(label,18)),' ')) ELSE left(label,18) END)||' …' END AS clipped FROM bodies""")
 def labels(spark: SparkSession, folder: str) -> DataFrame:
     x = F.col("label")

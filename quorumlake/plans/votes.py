@@ -12,10 +12,10 @@ from quorumlake.plans.registry import query
 
 ONCE = "SELECT * FROM motions QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) = 1"
 ONCE_MEETINGS = "SELECT * FROM meetings QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) = 1"
-CLASS = "CASE WHEN lower(trim(vote)) IN ('yes','aye','yea','y') THEN 'y' WHEN lower(trim(vote)) IN ('no','nay','n') THEN 'n' ELSE 'x' END"
-OUTCOME = """CASE WHEN contains(o,'passed') OR contains(o,'carried') OR contains(o,'approved') OR contains(o,'unanimous') THEN 'passed'
-    WHEN contains(o,'failed') OR contains(o,'did not pass') OR contains(o,'did not carry') OR contains(o,'denied') THEN 'failed'
-    WHEN contains(o,'tabled') OR contains(o,'continued') OR contains(o,'postponed') THEN 'tabled' ELSE 'other' END"""
+AGREE = "CASE WHEN lower(vote)='yes' THEN 'y' WHEN lower(vote) IN ('no','nay') THEN 'n' ELSE 'x' END"
+SIDE = "CASE WHEN lower(vote) IN ('yes','aye') THEN 'y' WHEN lower(vote) IN ('no','nay') THEN 'n' ELSE 'x' END"
+SUMMARY = "CASE WHEN lower(trim(vote)) IN ('yes','aye','y') THEN 'y' WHEN lower(trim(vote)) IN ('no','nay','n') THEN 'n' ELSE 'x' END"
+OUTCOME = """CASE WHEN contains(o,'passed') OR contains(o,'approved') OR contains(o,'carried') THEN 'passed' WHEN contains(o,'fail') OR contains(o,'denied') OR contains(o,'not pass') THEN 'failed' ELSE 'other' END"""
 VOTES = f"v AS (SELECT id AS motion_id, unnest(range(1, len(votes)+1)) AS pos, unnest(votes) AS u FROM ({ONCE})), votes_long AS (SELECT motion_id, pos, u.member_id AS member_id, u.vote AS vote FROM v)"
 
 
@@ -51,19 +51,19 @@ def yes_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {VOTES} SELECT least(x.member_id,y.member_id) AS a, greatest(x.member_id,y.member_id) AS b, round(avg((x.k=y.k)::INT::DOUBLE),6) AS agreement, count(*) AS n
-FROM (SELECT *, {CLASS} AS k FROM votes_long) x JOIN (SELECT *, {CLASS} AS k FROM votes_long) y ON x.motion_id=y.motion_id AND x.pos<y.pos GROUP BY 1,2""")
+FROM (SELECT *, {AGREE} AS k FROM votes_long) x JOIN (SELECT *, {AGREE} AS k FROM votes_long) y ON x.motion_id=y.motion_id AND x.pos<y.pos GROUP BY 1,2""")
 def pair_agreement(spark: SparkSession, folder: str) -> DataFrame:
     return V.pair_agreement(long_votes(spark, folder))
 
 
 @query(f"""WITH {VOTES} SELECT motion_id, count(*) FILTER (k='y') AS yes, count(*) FILTER (k='n') AS no,
   CASE WHEN count(*) FILTER (k='y') < count(*) FILTER (k='n') THEN 'y' WHEN count(*) FILTER (k='n') < count(*) FILTER (k='y') THEN 'n' END AS minority
-FROM (SELECT *, {CLASS} AS k FROM votes_long) GROUP BY 1 HAVING count(*) FILTER (k='y')>0 AND count(*) FILTER (k='n')>0""")
+FROM (SELECT *, {SIDE} AS k FROM votes_long) GROUP BY 1 HAVING count(*) FILTER (k='y')>0 AND count(*) FILTER (k='n')>0""")
 def divided_votes(spark: SparkSession, folder: str) -> DataFrame:
     return V.divided(long_votes(spark, folder))
 
 
-@query(f"""WITH {VOTES}, k AS (SELECT *, {CLASS} AS k FROM votes_long),
+@query(f"""WITH {VOTES}, k AS (SELECT *, {SIDE} AS k FROM votes_long),
 d AS (SELECT motion_id, count(*) FILTER (k='y') AS y, count(*) FILTER (k='n') AS n FROM k GROUP BY 1 HAVING y>0 AND n>0)
 SELECT member_id, count(*) AS seen, count(*) FILTER (k = CASE WHEN y<n THEN 'y' WHEN n<y THEN 'n' END) AS lost FROM k JOIN d USING(motion_id) WHERE k<>'x' GROUP BY 1""")
 def split_record(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,9 +146,9 @@ def tag_motion_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {VOTES} SELECT motion_id, count(*) FILTER (k='y') AS yes, count(*) FILTER (k='n') AS no, count(*) FILTER (k='x') AS other,
- coalesce(string_agg(member_id, ', ' ORDER BY pos) FILTER (k='y'),'') AS in_favor, coalesce(string_agg(member_id, ', ' ORDER BY pos) FILTER (k='n'),'') AS against FROM (SELECT *, {CLASS} AS k FROM votes_long) GROUP BY 1""")
+ coalesce(string_agg(member_id, ', ' ORDER BY pos) FILTER (k='y'),'') AS in_favor, coalesce(string_agg(member_id, ', ' ORDER BY pos) FILTER (k='n'),'') AS against FROM (SELECT *, {SUMMARY} AS k FROM votes_long) GROUP BY 1""")
 def vote_summary(spark: SparkSession, folder: str) -> DataFrame:
-    k = lambda v: V.vote_class(v["vote"])
+    k = lambda v: V.summary_class(v["vote"])
     named = lambda c: F.array_join(F.transform(F.filter("votes", lambda v: k(v) == c), lambda v: v["member_id"]), ", ")
     n = lambda c: F.size(F.filter("votes", lambda v: k(v) == c)).cast("bigint")
     rows = motions_once(spark, folder).where(F.size("votes") > 0)

@@ -10,7 +10,7 @@ def one(spark, column, value=None):
 
 
 def test_outcome_class_keeps_the_order_of_its_tests(spark):
-    assert [one(spark, T.outcome_class, v) for v in ("passed with a unanimous vote.", "did not pass", "not passed", "tabled", "", None)] == ["passed", "failed", "passed", "tabled", "other", "other"]
+    assert [one(spark, T.outcome_class, v) for v in ("passed with a unanimous vote.", "did not pass", "not passed", "motion fails", "tabled", "", None)] == ["passed", "failed", "passed", "failed", "other", "other", "other"]
 
 
 def test_numeric(spark):
@@ -26,7 +26,7 @@ def test_stem_and_tokens(spark):
 def test_names_slugs_and_initials(spark):
     assert one(spark, T.norm_name, "  Pat  O'Neil-Doe, Jr. ") == "pat o'neil-doe jr"
     assert one(spark, T.slug, " Parks & Trails (2024) ") == "parks-trails-2024"
-    assert [one(spark, T.initials, v) for v in ("Pat Doe", "pat", "Pat Q. Doe")] == ["PD", "P", "PD"]
+    assert [one(spark, T.initials, v) for v in ("Pat Doe", "pat", "Pat Q. Doe", "", None)] == ["PD", "PP", "PD", "?", "?"]
     assert [spark.range(1).select(T.ordinal(F.lit(n))).first()[0] for n in (1, 2, 3, 11, 12, 21, 113)] == ["1st", "2nd", "3rd", "11th", "12th", "21st", "113th"]
 
 
@@ -35,6 +35,7 @@ def test_wrapping_and_caps(spark):
     assert join("Mid-", "Valley") == "Mid-Valley" and join("one", "two") == "one two" and join("", "two") == "two"
     assert one(spark, T.calm_caps, "AN ORDINANCE OF THE CITY") == "An Ordinance of the City"
     assert one(spark, T.calm_caps, "An Ordinance of the City") == "An Ordinance of the City"
+    assert one(spark, T.calm_caps, "RDA PLAN - MIXED-USE/RETAIL (PHASE 2B) IN THE CITY") == "RDA Plan - Mixed-Use/Retail (Phase 2B) in the City"
 
 
 def test_sentences_and_clip(spark):
