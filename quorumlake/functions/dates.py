@@ -73,3 +73,10 @@ def term_years(start: Column, end: Column) -> Column:
 def recency(age_days: Column, weight: float, days: float) -> Column:
     """1 + weight * exp(-age / days); no true half-life."""
     return F.lit(1.0) + weight * F.exp(-F.greatest(age_days, F.lit(0)) / days)
+
+
+def posted_on(text: Column) -> Column:
+    """The day a certificate says a notice was posted on ("posted on this 13 day of August, 2026"), else null."""
+    pattern = r"(?i)posted\s+on\s+this\s+(\d{1,2})\s*(?:st|nd|rd|th)?\s+day\s+of\s+([A-Za-z]+),?\s+(\d{4})"
+    part = lambda k: F.regexp_extract(text, pattern, k)
+    return F.try_to_timestamp(F.concat_ws(" ", F.initcap(part(2)), part(1), part(3)), F.lit("MMMM d yyyy")).cast("date")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words that carry no meaning for retrieval, and those the claim search leaves out.
@@ -191,3 +191,58 @@ def claim_score(passage: Column, near: Column, strong_marks: str = STRONG_MARKS,
     total = total - F.when(end.rlike(marks) & ~start.rlike(marks), 1.5).otherwise(0.0)
     total = total - F.when(F.size(F.split(clean(low), " ")) < 14, 1.2).otherwise(0.0)
     return F.when(low.rlike(NO_CLAIM) | ~(strong | weak), 0.0).otherwise(total)
+
+# Titles that stand before a name.
+NAME_TITLES = r"mayor pro tem|mayor|councilmember|council member|chief deputy|deputy|chief|mr\.|mrs\.|ms\.|dr\.|miss"
+
+
+def bare_name(label: Column) -> Column:
+    """The name without titles before it, a nickname in quotes and a role in brackets after it."""
+    name = F.regexp_replace(F.trim(label), r"\s*\([^)]*\)\s*$", "")
+    name = F.regexp_replace(name, rf"(?i)^(?:(?:{NAME_TITLES})\s+)+", "")
+    return clean(F.regexp_replace(name, "\\s*[\"“”][^\"“”]*[\"“”]\\s*", " "))
+
+
+def role_note(label: Column) -> Column:
+    """What stands in brackets at the end of a label, else empty."""
+    return F.trim(F.regexp_extract(F.trim(label), r"\(([^)]*)\)\s*$", 1))
+
+
+def resolve_people(labels: DataFrame, column: str) -> DataFrame:
+    """``labels`` with ``person``, ``role`` and ``candidates``: a lone first name is resolved only if just one full name begins with it."""
+    named = labels.withColumns({"person": bare_name(F.col(column)), "role": role_note(F.col(column))})
+    full = named.where(F.col("person").contains(" ")).select(F.col("person").alias("__p"), F.lower(F.element_at(F.split("person", " "), 1)).alias("__f")).distinct()
+    first = full.groupBy("__f").agg(F.sort_array(F.collect_set("__p")).alias("candidates"))
+    joined = named.withColumn("__f", F.when(~F.col("person").contains(" "), F.lower("person"))).join(first, "__f", "left").drop("__f")
+    one = F.when(F.col("candidates").isNotNull() & (F.size("candidates") == 1), F.get("candidates", F.lit(0)))
+    return joined.withColumn("person", F.when(F.col("person").contains(" "), F.col("person")).otherwise(one)).withColumn("candidates", F.coalesce("candidates", F.array().cast("array<string>")))
+
+
+def reply_json(reply: Column) -> Column:
+    """The JSON object in a model's reply, without a fence or words around it; null if there is none."""
+    return F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit(""))
+
+
+def canonical_url(url: Column, origin: str, default_body: str, keep: tuple[str, ...] = ("id", "body")) -> Column:
+    """The address under one origin with only the parameters that choose content; the default body is left out."""
+    path = F.regexp_replace(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("/")), r"/index\.html$", "/")
+    pairs = []
+    for name in keep:
+        value = F.nullif(F.try_parse_url(url, F.lit("QUERY"), F.lit(name)), F.lit(""))
+        value = F.when(value != default_body, value) if name == "body" else value
+        pairs.append(F.when(value.isNotNull(), F.concat(F.lit(f"{name}="), value)))
+    query = F.array_join(F.filter(F.array(*pairs), lambda p: p.isNotNull()), "&")
+    return F.when(url.isNotNull(), F.concat(F.lit(origin), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
+
+
+def used_sources(sources: Column, answer: Column) -> Column:
+    """The sources whose address the answer cites, else the first three; four at most."""
+    cited = F.filter(sources, lambda s: (s["url"] != "") & F.contains(answer, s["url"]))
+    return F.slice(F.when(F.size(cited) > 0, cited).otherwise(F.slice(sources, 1, 3)), 1, 4)
+
+
+def split_kind(title: Column) -> tuple[Column, Column]:
+    """("RESOLUTION", rest) of "RESOLUTION - rest"; else empty and the title."""
+    pattern = r"^([A-Z][A-Z/ ]{2,40}?)\s*[-–]\s*(.*)$"
+    kind = F.trim(F.regexp_extract(title, pattern, 1))
+    return kind, F.when(kind != "", F.trim(F.regexp_extract(title, pattern, 2))).otherwise(title)

@@ -102,17 +102,24 @@ def claim_search(docs: DataFrame, claim: str, most: int = 8) -> DataFrame:
     return rows.select("doc_id", F.round(score, 6).alias("score")).where("score > 0").orderBy(F.desc("score"), "doc_id").limit(most)
 
 
-def select_passages(ranked: DataFrame, k: int = 8, budget: int = 16_000, transcripts: int = 2, per_url: int = 2, depth: int = 2_000) -> list[dict]:
-    """The greedy walk over the best ``depth`` passages (score, doc_id, kind, url, chars): up to k, within the budget of characters,
-    at most so many transcripts and so many of one address; a passage passed over uses nothing.
-
-    The result is the few passages of one prompt, so it is a list; only ``depth`` rows come to the driver.
+def select_passages(ranked: DataFrame, k: int = 8, budget: int = 16_000, transcripts: int = 2, per_url: int = 2) -> list[dict]:
+    """The greedy walk over passages (score, doc_id, kind, url, chars): up to k, within the budget of characters, at most so
+    many transcripts and so many of one address (none counts as one); a passage passed over uses nothing.
+
+    The result is the few passages of one prompt, so it is a list.  Only rows that the walk can reach come to the
+    driver, and the walk over them is exact: of each address and class the first ``per_url`` can be taken; as at most k
+    are taken, no more than k of a class are passed over for their address, so the first 2k of one class and the first
+    ``transcripts`` + k of the other are enough.
     """
+    heard_kind = F.coalesce(F.col("kind") == "transcript", F.lit(False))
+    order = [F.desc("score"), F.col("doc_id")]
+    near = ranked.withColumn("__t", heard_kind).withColumn("__r", F.row_number().over(Window.partitionBy(F.coalesce("url", F.lit("")), "__t").orderBy(*order))).where(F.col("__r") <= per_url)
+    top = near.where(~F.col("__t")).orderBy(*order).limit(2 * k).unionByName(near.where("__t").orderBy(*order).limit(transcripts + k))
     chosen, chars, heard, seen = [], 0, 0, {}
-    for r in ranked.orderBy(F.desc("score"), "doc_id").limit(depth).collect():
+    for r in sorted(top.drop("__t", "__r").collect(), key=lambda r: (-r["score"], r["doc_id"])):
         if len(chosen) >= k or chars >= budget:
             break
-        if r["kind"] == "transcript" and heard >= transcripts or r["url"] and seen.get(r["url"], 0) >= per_url:
+        if r["kind"] == "transcript" and heard >= transcripts or seen.get(r["url"], 0) >= per_url:
             continue
         chosen.append(r.asDict())
         chars += r["chars"]

@@ -76,7 +76,7 @@ def claim_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def greedy_passages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    ranked = bm25(spark, folder).join(docs.select("doc_id", "kind", "url", F.length("text").alias("chars")), "doc_id")
+    ranked = bm25(spark, folder).join(docs.select("doc_id", "kind", "url", (F.least(F.length("text"), F.lit(1_400)) + F.least(F.length(F.coalesce("title", F.lit(""))), F.lit(160))).alias("chars")), "doc_id")
     rows = [(n, r["doc_id"], r["score"]) for n, r in enumerate(S.select_passages(ranked))]
     return spark.createDataFrame(rows, "rank int, doc_id bigint, score double")
 

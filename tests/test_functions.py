@@ -72,3 +72,21 @@ def test_claims(spark):
 def test_vectors(spark):
     row = spark.createDataFrame([([3.0, 4.0], [3.0, 4.0], [0.0, 0.0])], "a array<double>, b array<double>, z array<double>").select(X.norm("a").alias("n"), X.cosine(F.col("a"), F.col("b")).alias("c"), X.unit(F.col("z")).alias("u")).first()
     assert row["n"] == 5.0 and abs(row["c"] - 1) < 1e-9 and row["u"] == [0.0, 0.0]
+
+
+def test_people(spark):
+    labels = ["Councilmember Pat Doe (mayor pro tem)", "Pat", "Mayor Dr. Sam \"Sammy\" Roe", "Sam", "Sam Poe", "Kim"]
+    rows = {r["x"]: r for r in T.resolve_people(spark.createDataFrame([(x,) for x in labels], "x string"), "x").collect()}
+    assert (rows[labels[0]]["person"], rows[labels[0]]["role"]) == ("Pat Doe", "mayor pro tem") and rows["Pat"]["person"] == "Pat Doe"
+    assert rows[labels[2]]["person"] == "Sam Roe" and rows["Sam"]["person"] is None and rows["Sam"]["candidates"] == ["Sam Poe", "Sam Roe"] and rows["Kim"]["candidates"] == []
+
+
+def test_addresses_replies_and_notices(spark):
+    url = lambda x: one(spark, lambda c: T.canonical_url(c, "https://h", "council"), x)
+    assert [url(x) for x in ("https://a/m.html?x=1&id=7&body=council", "http://b/index.html", "https://a/m?body=board", None)] == ["https://h/m.html?id=7", "https://h/", "https://h/m?body=board", None]
+    assert one(spark, T.reply_json, '```json\n{"a": {"b": 1}}\n```') == '{"a": {"b": 1}}' and one(spark, T.reply_json, "none") is None
+    assert str(one(spark, D.posted_on, "was posted on\nthis 13 day of August, 2026, on the boards")) == "2026-08-13" and one(spark, D.posted_on, "no") is None
+    kind, rest = T.split_kind(F.col("x"))
+    assert spark.createDataFrame([("RESOLUTION/PUBLIC HEARING - A plan",), ("plain",)], "x string").select(kind, rest).collect()[0][:] == ("RESOLUTION/PUBLIC HEARING", "A plan")
+    s = spark.createDataFrame([([("u1",), ("u2",), ("u3",), ("u4",)], "see u4"), ([("u1",), ("u2",), ("u3",), ("u4",)], "none")], "s array<struct<url:string>>, a string")
+    assert [[x["url"] for x in r[0]] for r in s.select(T.used_sources(F.col("s"), F.col("a"))).collect()] == [["u4"], ["u1", "u2", "u3"]]

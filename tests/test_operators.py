@@ -152,6 +152,24 @@ def test_novelty_and_selection(spark):
     assert [r["doc_id"] for r in search.select_passages(ranked, k=5)] == [0, 1, 4, 5, 6]
 
 
+def test_selection_is_that_of_the_plain_walk(spark):
+    import random
+
+    for seed in range(4):
+        rng = random.Random(seed)
+        rows = [(n, float(rng.randint(0, 60)), rng.choice(["transcript", "motion", None]), rng.choice(["u", "v", "w", None]), rng.randint(1, 900)) for n in range(150)]
+        plain, chars, heard, seen = [], 0, 0, {}
+        for d, s, kind, url, c in sorted(rows, key=lambda r: (-r[1], r[0])):
+            if len(plain) >= 7 or chars >= 3000:
+                break
+            if kind == "transcript" and heard >= 2 or seen.get(url, 0) >= 2:
+                continue
+            plain.append(d)
+            chars, heard, seen[url] = chars + c, heard + (kind == "transcript"), seen.get(url, 0) + 1
+        ranked = spark.createDataFrame(rows, "doc_id int, score double, kind string, url string, chars int")
+        assert [r["doc_id"] for r in search.select_passages(ranked, k=7, budget=3000)] == plain
+
+
 def test_voices():
     rng = np.random.default_rng(1)
     a, b = np.eye(16)[0] * 5, np.eye(16)[1] * 5
