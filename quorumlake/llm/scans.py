@@ -298,6 +298,7 @@ class Vocabulary:
         return word if min(solid) * 30 < n else None
 
 
+_DATE_LINE = re.compile(r"[A-Za-z0-9]{3,11}\.?\s+[\dOoIlSsBb]{1,2}\s*,\s*[\dOoIlSsBb]{4}")
 _CORE = re.compile(r"^([^\w$¬-]*)(.*?)([^\w¬]*)$", re.S)
 
 
@@ -308,6 +309,9 @@ def repair_text(text: str, vocabulary: Vocabulary, furniture) -> tuple[str, list
     """
     lines = _BREAK.split(text)
     flags = [len(lines) > 1 and bool(x.strip()) and furniture(x, n) for n, x in enumerate(lines)]
+    for n, line in enumerate(lines):  # a date beside a header belongs to it, whatever the row's own date
+        if not flags[n] and (n and flags[n - 1] or n + 1 < len(lines) and flags[n + 1]) and _DATE_LINE.fullmatch(line.strip()) and _month(line.split()[0].strip(_PUNCT)):
+            flags[n] = True
     body: list[str] = []
     for line, out in zip(lines, flags):
         if not out:
