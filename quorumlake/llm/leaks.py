@@ -35,10 +35,7 @@ _WORD = re.compile(r"[a-z0-9]+")
 _ENTITY = re.compile(r"&(?:[A-Za-z]{2,8}|#\d{2,6}|#x[0-9A-Fa-f]{2,5});")
 _UNSEEN = re.compile("[­​-‏⁠﻿̀-ͯ]")
 # Letters of other alphabets that look like Latin ones, and letters that have no parts to fall into.
-_LOOK = str.maketrans(
-    "аеорсухіјѕкмтнвһԁԛԝαεορνικτυχıłøđ",
-    "aeopcyxijskmtnbhdqwaeopvikutuxilod".replace("kutu", "ktu"),
-)
+_LOOK = str.maketrans("аеорсухіјѕкмтнвһԁԛԝ" + "αεορνικτυχ" + "ıłøđ", "aeopcyxijskmthbhdqw" + "aeopviktux" + "ilod")
 _MORE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d"}
 
 
