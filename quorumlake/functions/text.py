@@ -32,23 +32,33 @@ def slug(x: Column) -> Column:
 
 
 def stem(w: Column) -> Column:
-    """Light suffix stripping: plurals, then -ing and -ed, then a last e; words of three letters stay."""
-    cut = lambda c, n: F.substring(c, F.lit(1), F.length(c) - n)
-    plural = (
-        F.when(w.endswith("ies") & (F.length(w) > 4), F.concat(cut(w, 3), F.lit("y")))
-        .when(w.rlike("(ch|sh|ss|x|z)es$"), cut(w, 2))
-        .when(w.endswith("s") & ~w.endswith("ss") & ~w.endswith("us"), cut(w, 1))
-        .otherwise(w)
-    )
-    ending = F.when(plural.endswith("ing") & (F.length(plural) > 5), cut(plural, 3)).when(plural.endswith("ed") & (F.length(plural) > 4), cut(plural, 2)).otherwise(plural)
-    return F.when(F.length(w) <= 3, w).otherwise(F.when((F.length(ending) > 3) & ending.endswith("e"), cut(ending, 1)).otherwise(ending))
+    """Light suffix stripping: plurals, then -ing or -ed, then a last e; words of three letters stay.
 
+    A chain of replacements, so that the expression does not grow with each step.
+    """
+    plain = F.regexp_replace(w, "^(.{2,})ies$", "$1y")
+    plain = F.regexp_replace(plain, "(ch|sh|ss|x|z)es$", "$1")
+    plain = F.regexp_replace(plain, "(?<![su])s$", "")
+    plain = F.regexp_replace(plain, "^(.{3,}?)(?:ing|ed)$", "$1")
+    plain = F.regexp_replace(plain, "^(.{3,})e$", "$1")
+    return F.when(F.length(w) <= 3, w).otherwise(plain)
 
-def tokens(x: Column, places: tuple[str, ...] = ()) -> Column:
-    """Index tokens: letters and digits of two characters or more, without stop words and names of places, stemmed."""
+
+def index_words(x: Column, places: tuple[str, ...] = ()) -> Column:
+    """Letters and digits of two characters or more, lower case, without stop words and names of places."""
     stop = F.array(*map(F.lit, [*STOP_WORDS, *places]))
     words = F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-    return F.transform(F.filter(words, lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w)), stem)
+    return F.filter(words, lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w))
+
+
+def tokens(x: Column, places: tuple[str, ...] = ()) -> Column:
+    """Index tokens: the index words, stemmed."""
+    return F.transform(index_words(x, places), stem)
+
+
+def stems_to(w: Column, term: str) -> Column:
+    """Whether a word has this stem; words that do not begin like it are told without stemming."""
+    return w.startswith(term[:-1] if len(term) > 1 else term) & (stem(w) == term)
 
 
 def claim_tokens(x: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,8 +19,10 @@ PINNED = ("overview", "member", "upcoming")
 
 def postings(docs: DataFrame, places: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, term, tf, dl): how often each index token stands in title and text, and the tokens of the document."""
-    toks = docs.select("doc_id", T.tokens(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))), places).alias("t"))
-    return toks.select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    # words are stemmed after they are rows, where the expression is compiled
+    words = docs.select("doc_id", T.index_words(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))), places).alias("t"))
+    rows = words.select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("w"))
+    return rows.select("doc_id", "dl", T.stem(F.col("w")).alias("term")).groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf(n: Column, df: Column) -> Column:
@@ -50,10 +53,17 @@ def bm25(docs: DataFrame, terms: DataFrame, body: str | None = None, now: str |
     """
     asked = terms.collect()  # the words of a question
     names = [r["term"] for r in asked]
+
+    def any_term(w: Column) -> Column:
+        return reduce(lambda a, b: a | b, (T.stems_to(w, n) for n in names), F.lit(False))
+
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
-    counted = docs.withColumn("__t", T.tokens(text))
-    tf = {n: _occurrences("__t", n) for n in names}
-    held = counted.select("doc_id", "title", "tags", "kind", "body", "date", F.size("__t").alias("dl"), *(c.alias(f"__{i}") for i, c in enumerate(tf.values())))
+    title = F.exists(T.index_words(F.left(F.coalesce("title", F.lit("")), F.lit(200))), any_term)
+    tagged = F.exists(T.index_words(F.array_join(F.coalesce("tags", F.array()), " ")), any_term)
+    flat = docs.select("doc_id", title.alias("title_hit"), tagged.alias("tag_hit"), "kind", "body", "date", F.explode_outer(T.index_words(text)).alias("w"))
+    # counts of the few terms are summed before the shuffle, so one row a document travels
+    meta = ("title_hit", "tag_hit", "kind", "body", "date")
+    held = flat.groupBy("doc_id").agg(F.count("w").alias("dl"), *(F.any_value(c).alias(c) for c in meta), *(F.count_if(T.stems_to(F.col("w"), n)).alias(f"__{i}") for i, n in enumerate(names)))
     stats = held.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"__{i}") > 0).alias(f"df{i}") for i in range(len(names))))
     scored = held.join(F.broadcast(stats), F.lit(True))  # one row
     parts, required = [], F.lit(False)
@@ -63,11 +73,9 @@ def bm25(docs: DataFrame, terms: DataFrame, body: str | None = None, now: str |
         required = required | ((f > 0) if r["required"] else F.lit(False))
     any_required = any(r["required"] for r in asked)
     score = sum(parts, F.lit(0.0))
-    wanted = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
-    title = F.arrays_overlap(T.tokens(F.left(F.coalesce("title", F.lit("")), F.lit(200))), wanted)
-    tagged = F.exists(F.coalesce("tags", F.array()), lambda t: F.arrays_overlap(T.tokens(t), wanted))
+
     kind = F.coalesce(*(F.when(F.col("kind") == k, w) for k, w in KIND_WEIGHT.items()), F.lit(1.0))
-    score = score * F.when(title, TITLE_BOOST).otherwise(1.0) * F.when(tagged, TAG_BOOST).otherwise(1.0) * kind
+    score = score * F.when(F.col("title_hit"), TITLE_BOOST).otherwise(1.0) * F.when(F.col("tag_hit"), TAG_BOOST).otherwise(1.0) * kind
     if now:
         age = F.datediff(F.to_date(F.lit(now)), F.try_to_timestamp("date", F.lit("yyyy-MM-dd")).cast("date"))
         score = score * F.when(age.isNull(), 1.0).otherwise(1.0 + recency_weight * F.exp(-F.greatest(age, F.lit(0)) / recency_days))
@@ -78,10 +86,6 @@ def bm25(docs: DataFrame, terms: DataFrame, body: str | None = None, now: str |
     return kept.select("doc_id", score.alias("score")).where("score > 0")
 
 
-def _occurrences(tokens: str, word: str) -> Column:
-    return F.size(F.filter(tokens, lambda w: w == word))
-
-
 def claim_search(docs: DataFrame, claim: str, most: int = 8) -> DataFrame:
     """(doc_id, score): documents that hold every quoted phrase of the claim, by the weight of the set of words they share with it.
 
