@@ -7,8 +7,10 @@ apart are joined, and misread words are replaced by the word of the vocabulary t
 letters that scanners confuse have one shape, so that words of like shape are the candidates.
 
 Scale: two passes.  The first counts words and edge lines with partial sums in each batch, the second repairs row
-by row.  What is sent to the executors is bounded: a vocabulary of at most ``MAX_WORDS`` words (the most
-frequent ones) and the headers found (their number is checked).
+by row.  A vocabulary of at most ``MAX_WORDS`` words is sent to the executors.  A larger one stays a table: rows are
+dealt into chunks, each chunk asks for the words its texts may look up, all of one shape together, and is repaired
+with the answers; every word keeps its count, so the result is the same.  The headers found are sent (their number
+is checked).
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from quorumlake.io import bounded_rows, built, cut, send
 from quorumlake.llm.canonical import weighted_distance
 
 MAX_WORDS, MAX_HEADERS = 500_000, 500_000
+CHUNK_ROWS = 4_000
 MIN_REPEATS, MIN_PURITY = 3, 0.25
 FIELDS = ("item_title", "motion")
 
@@ -68,6 +71,14 @@ def shape(word: str) -> str:
     return word.translate(_SAME)
 
 
+_OPEN = re.compile("ci+")
+
+
+def class_key(word: str) -> str:
+    """A coarser shape, alike too whether a 0 is read as d or not: the words that decide on a token all have its key."""
+    return _OPEN.sub("c", shape(word))
+
+
 def misreadings(right: str, wrong: str, most: int = 6) -> int | None:
     """The least number of misread places that turn ``right`` into ``wrong``; None if letters differ otherwise."""
     n, m = len(right), len(wrong)
@@ -210,11 +221,14 @@ _WORD = re.compile(r"[A-Za-zÀ-ÿ]+(?:['’\-][A-Za-zÀ-ÿ]+)*")
 
 
 class Vocabulary:
-    """Counts of words, and which of them have one shape; built once in each Python worker."""
+    """Counts of words, and which of them have one shape; built once in each Python worker.
+
+    total: the sum of all counts of the corpus, where ``counts`` are those of a part of its words.
+    """
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], total: int | None = None):
         self.counts = counts
-        self.total = max(1, sum(counts.values()))
+        self.total = max(1, sum(counts.values()) if total is None else total)
         self.like: dict[str, list[str]] = defaultdict(list)
         for word, n in counts.items():
             if n >= 3 and len(word) > 1:
@@ -298,6 +312,36 @@ class Vocabulary:
         return word if min(solid) * 30 < n else None
 
 
+class Asking:
+    """Stands in for a Vocabulary and repairs nothing, but notes the keys of all words that repairing would look up."""
+
+    def __init__(self):
+        self.keys: set[str] = set()
+        self.seen: set[str] = set()
+
+    def _ask(self, text: str) -> None:
+        low = text.lower()
+        if low in self.seen:
+            return
+        self.seen.add(low)
+        self.keys.add(class_key(low))
+        if "-" in low:  # its parts may be repaired one by one and put together again
+            parts = [p for p in low.split("-") if p]
+            self.keys.update(map(class_key, [*parts, "-".join(parts)]))
+
+    def repaired(self, token: str) -> None:
+        self._ask(token)
+
+    def joined(self, left: str, right: str) -> str:
+        for x in (left + right, f"{left}-{right}", left.split("-")[-1], right.split("-")[0]):
+            self._ask(x)
+        return (left + right).lower()
+
+    def fallen_apart(self, left: str, right: str) -> None:
+        for x in (left + right, left, right):
+            self._ask(x)
+
+
 _DATE_LINE = re.compile(r"[A-Za-z0-9]{3,11}\.?\s+[\dOoIlSsBb]{1,2}\s*,\s*[\dOoIlSsBb]{4}")
 _CORE = re.compile(r"^([^\w$¬-]*)(.*?)([^\w¬]*)$", re.S)
 
@@ -446,43 +490,69 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
     words the right forms of the words and numbers that stood broken or misread, each once, edges whether headers,
     footers or page numbers were taken out.  Null and blank fields yield nothing; null body, page or date only
     weaken the search for page edges.  Rows delivered again yield one row.  The vocabulary is that of these
-    motions; of more than ``max_words`` different words the most frequent are used.  More than ``max_headers``
-    different headers are an error.
+    motions, all words that occur twice or more; one of more than ``max_words`` words is not sent but joined, with
+    the same result.  More than ``max_headers`` different headers are an error.
     """
     fields = _fields(motions).dropDuplicates(["motion_id", "field"])
     counted = cut(_counted(fields))
-    words = counted.where((F.col("kind") == "word") & (F.col("n") >= 2))
-    least = 2
-    # the least count that keeps no more than max_words words, from the histogram of counts (one row a count below 1,000)
-    histogram = words.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).collect()
-    kept = 0
-    for r in histogram:
-        if kept + r["words"] > max_words:
-            least = r["n"] + 1
-            break
-        kept += r["words"]
-    counts = {r["key"]: r["n"] for r in bounded_rows(words.where(F.col("n") >= least).select("key", "n"), max_words, "the vocabulary")}
+    words = counted.where((F.col("kind") == "word") & (F.col("n") >= 2)).select("key", "n")
     headers = {(r["body"], r["key"]) for r in bounded_rows(_headers(counted), max_headers, "the set of headers")}
+    size, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
+    schema = f"motion_id {motions.schema['id'].dataType.simpleString()}, field string, text string, words array<string>, edges boolean"
+    if size > max_words:
+        return _repaired_in_chunks(fields, words, total, headers, schema)
+    counts = {r["key"]: r["n"] for r in bounded_rows(words, max_words, "the vocabulary")}
     sent = send(motions.sparkSession, (counts, headers))
-    kind = motions.schema["id"].dataType.simpleString()
 
     def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary, known = built(sent, lambda x: (Vocabulary(x[0]), x[1]))
         for batch in batches:
-            rows = []
-            for motion, field, body, page, date, text in batch[["motion_id", "field", "body", "page", "date", "text"]].itertuples(index=False):
-                at = None if page is None or page != page else int(page)
+            yield _repaired_rows(batch, vocabulary, known)
+
+    return fields.mapInPandas(mend, schema)
+
+
+def _repaired_rows(batch: pd.DataFrame, vocabulary: Vocabulary | Asking, known: set[tuple[str, str]]) -> pd.DataFrame:
+    rows = []
+    for motion, field, body, page, date, text in batch[["motion_id", "field", "body", "page", "date", "text"]].itertuples(index=False):
+        at = None if page is None or page != page else int(page)
+
+        def furniture(line: str, n: int) -> bool:
+            if page_form(line, at):
+                return True
+            return edge_like(line) and (title_form(line, body, date) or n > 0 and (body, edge_key(line)) in known)
+
+        whole, cases, edges = repair_text(text, vocabulary, furniture)
+        rows.append((motion, field, whole, cases, edges))
+    return pd.DataFrame(rows, columns=["motion_id", "field", "text", "words", "edges"])
+
+
+def _repaired_in_chunks(fields: DataFrame, words: DataFrame, total: int, headers: set[tuple[str, str]], schema: str) -> DataFrame:
+    """The same repair with a vocabulary of any size: each chunk of rows is joined with the words it may look up."""
+    sent = send(fields.sparkSession, headers)
+    # written once: a chunk must be repaired with the very texts that it asked for
+    fields = cut(fields)
+    chunks = max(1, -(-fields.count() // CHUNK_ROWS))
+    dealt = fields.withColumn("chunk", F.pmod(F.xxhash64("motion_id", "field"), F.lit(chunks)).cast("int"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = built(sent, lambda x: x)
+        for batch in batches:
+            for chunk, rows in batch.groupby("chunk"):
+                asking = Asking()
+                _repaired_rows(rows, asking, known)
+                yield pd.DataFrame({"chunk": chunk, "class": sorted(asking.keys)}).astype({"chunk": "int32"})
 
-                def furniture(line: str, n: int) -> bool:
-                    if page_form(line, at):
-                        return True
-                    return edge_like(line) and (title_form(line, body, date) or n > 0 and (body, edge_key(line)) in known)
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(**{"class": [class_key(w) for w in batch["key"]]})
 
-                whole, cases, edges = repair_text(text, vocabulary, furniture)
-                rows.append((motion, field, whole, cases, edges))
-            yield pd.DataFrame(rows, columns=["motion_id", "field", "text", "words", "edges"])
+    def mend(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return _repaired_rows(rows, Vocabulary(dict(zip(answers["key"], answers["n"].tolist())), total), built(sent, lambda x: x))
 
-    return fields.mapInPandas(mend, f"motion_id {kind}, field string, text string, words array<string>, edges boolean")
+    asked = dealt.repartition("chunk").mapInPandas(ask, "chunk int, class string").distinct()
+    answers = asked.join(words.mapInPandas(keyed, "key string, n bigint, class string"), "class").select("chunk", "key", "n")
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(mend, schema)
 
 
 def found(motions: DataFrame) -> DataFrame:
