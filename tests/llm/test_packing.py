@@ -60,3 +60,18 @@ def test_texts(spark):
         sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["n_tokens"]
     assert sizes[1] == 2 and sizes[2] == sizes[3] == 0 and sizes[5] == 2 * len(P.encoder(P.TOKENIZER).encode_ordinary("word " * 3000))
     assert len({r["context"] for r in got if r["doc_id"] == 5}) >= 2
+
+
+def test_long_stretches_are_counted_exactly(spark):
+    rng = random.Random(7)
+    texts = ["go " + "".join(rng.choice("abcdefgh/.-_") for _ in range(n)) + " on" for n in (1999, 2001, 4914, 60_000)] + ["é" * 4001 + "  a", "x" * 3000 + "\n" + "y" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    encode = P.encoder(P.TOKENIZER).encode_ordinary
+    assert {r["doc_id"]: r["n_tokens"] for r in P.count_tokens(docs).collect()} == {n: len(encode(t)) for n, t in enumerate(texts)}
+
+
+def test_long_blanks():
+    coder = P.encoder(P.TOKENIZER)
+    for text in ("one\n" + " " * 60_000 + "two" + " \t\u3000" * 30_000 + "\nthree" + " " * 60_000, " " * 70_000, "\x1c" * 70_000, "a" * 70_000):
+        assert P._length(coder, text) == len(coder.encode_ordinary(text))
+    assert P._length(coder, "a" + " " * 1_000_000 + "b") > 2
