@@ -16,6 +16,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.found(table(spark, folder, "documents"))
 
 
+def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.split_texts(table(spark, folder, "documents"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.found(table(spark, folder, "votes_by_member_raw"), table(spark, folder, "speakers"))
 
@@ -24,6 +28,10 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return turns.found(table(spark, folder, "transcript_lines"), table(spark, folder, "speakers"))
 
 
+def p4_turns(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.speaker_turns(table(spark, folder, "transcript_lines"), table(spark, folder, "speakers"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return scans.found(table(spark, folder, "motions"))
 
@@ -40,4 +48,4 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return reading.found(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_pack, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_pieces, p3_found, p4_found, p4_turns, p5_found, p6_pack, p7_found, p8_found)}
