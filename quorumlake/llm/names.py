@@ -468,8 +468,12 @@ def spellings_of(*tables: DataFrame) -> DataFrame:
 
 
 def found(votes: DataFrame, speakers: DataFrame) -> DataFrame:
-    """(term_id, name_a, name_b): every pair of spellings of one entity within a term, the smaller first."""
-    members = votes.select("row_id", "term_id", F.col("member").alias("name")).dropDuplicates(["row_id"]).drop("row_id")
+    """(term_id, name_a, name_b): every pair of spellings of one entity within a term, the smaller first.
+
+    Rows of one row_id count once; rows without a row_id cannot be told from one another, so each of them counts.
+    """
+    rows = votes.select("row_id", "term_id", F.col("member").alias("name"))
+    members = rows.where("row_id IS NOT NULL").dropDuplicates(["row_id"]).unionByName(rows.where("row_id IS NULL")).drop("row_id")
     runners = speakers.select("term_id", F.col("runner_up.name").alias("name"))
     linked = cut(entities(spellings_of(members, runners)))
     a, b = (linked.select("term_id", "entity", F.col("name").alias(n)) for n in ("name_a", "name_b"))

@@ -47,3 +47,9 @@ def test_tables(spark):
     got = sorted(tuple(r) for r in N.found(votes, speakers).collect())
     assert got == [(7, "H. Merestead", "Hiro Merestead"), (7, "H. Merestead", "Merestead, Hiro"), (7, "Hiro Merestead", "Merestead, Hiro"), (8, "H. Merestead", "Hiro Mereestead")]
     assert N.found(votes.limit(0), speakers.limit(0)).count() == 0
+
+
+def test_rows_without_an_id(spark):
+    votes = spark.createDataFrame([(None, 7, "Hiro Merestead"), (None, 7, "H. Merestead"), (None, 8, "Zoë Skellric"), (1, 8, "Z. Skellric"), (1, 8, "Z. Skellric")], "row_id bigint, term_id bigint, member string")
+    speakers = spark.createDataFrame([], "term_id bigint, runner_up struct<name:string,similarity:double>")
+    assert sorted(map(tuple, N.found(votes, speakers).collect())) == [(7, "H. Merestead", "Hiro Merestead"), (8, "Z. Skellric", "Zoë Skellric")]
