@@ -29,7 +29,7 @@ from quorumlake.llm.canonical import weighted_distance
 
 MAX_WORDS, MAX_HEADERS = 500_000, 500_000
 CHUNK_ROWS = 4_000
-MIN_REPEATS, MIN_PURITY = 3, 0.25
+MIN_REPEATS, MIN_PURITY, MIN_ALONE = 3, 0.25, 0.75
 FIELDS = ("item_title", "motion")
 
 # What a scanner makes of letters, the right letters first, the misread ones after the arrow.
@@ -131,6 +131,16 @@ def edge_key(line: str) -> str:
     return " ".join(out)
 
 
+def _units(keys: list[str], tokens: list[str]) -> tuple[list[str], list[str]]:
+    """The word pairs, and the single words, that can tell a header from running text: none of them in lower case.
+
+    keys are the folded tokens; folding makes small letters of some capitals, so the token itself is asked too.
+    """
+    high = [not (k[:1].islower() and t.strip(_PUNCT)[:1].islower()) for k, t in zip(keys, tokens)]
+    pairs = [f"{a} {b}" for a, b, x, y in zip(keys, keys[1:], high, high[1:]) if x and y]
+    return pairs, [k for k, t in zip(keys, tokens) if t.strip(_PUNCT)[:1].isupper()]
+
+
 _month_cache: dict[str, bool] = {}
 
 
@@ -439,13 +449,15 @@ def _fields(motions: DataFrame) -> DataFrame:
 
 
 def _counted(fields: DataFrame) -> DataFrame:
-    """(kind, body, key, n): 'word' counts; for each body 'line' counts of edge-like lines and 'pair' counts of word pairs in them and elsewhere."""
+    """(kind, body, key, n): 'word' counts; for each body 'line' counts of edge-like lines, 'pair' counts of word pairs and
+    of single words in them and elsewhere, and 'use' counts of the pairs of such a line, or of its words if it has none."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words: Counter = Counter()
             edges: Counter = Counter()
             pairs: Counter = Counter()
+            uses: Counter = Counter()
             for body, text in zip(batch["body"], batch["text"]):
                 lines = _BREAK.split(text)
                 for n, line in enumerate(lines):
@@ -459,13 +471,16 @@ def _counted(fields: DataFrame) -> DataFrame:
                             if "-" in core:
                                 words.update(core.lower().split("-"))
                     keys = edge_key(line).split(" ")
+                    together, single = _units(keys, tokens)
                     if n and len(lines) > 1 and edge_like(line):
                         edges[body, " ".join(keys)] += 1
-                    for a, b in zip(keys, keys[1:]):
-                        if not (a[:1].islower() or b[:1].islower()):
-                            pairs[body, f"{a} {b}"] += 1
+                        for unit in set(together or single):
+                            uses[body, f"{' '.join(keys)}\n{unit}"] += 1
+                    for unit in together + single:
+                        pairs[body, unit] += 1
             rows = [("word", None, k, n) for k, n in words.items()]
             rows += [("line", b, k, n) for (b, k), n in edges.items()] + [("pair", b, k, n) for (b, k), n in pairs.items()]
+            rows += [("use", b, k, n) for (b, k), n in uses.items()]
             yield pd.DataFrame(rows, columns=["kind", "body", "key", "n"])
 
     made = fields.select("body", "text").mapInPandas(count, "kind string, body string, key string, n bigint")
@@ -474,13 +489,14 @@ def _counted(fields: DataFrame) -> DataFrame:
 
 def _headers(counted: DataFrame) -> DataFrame:
     """(body, key) of lines that repeat in a body and stand nearly always alone: the rarest pair of words in such a line
-    occurs in that body hardly anywhere else."""
+    occurs in that body hardly anywhere else.  A line without a pair to judge by, such as a single word, must hold a
+    word that stands elsewhere still less."""
     lines = counted.where((F.col("kind") == "line") & (F.col("n") >= MIN_REPEATS)).select("body", "key", F.col("n").alias("lines"))
-    words = F.split("key", " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    longer = lines.where(F.size(words) >= 2).select("body", "key", "lines", F.explode(F.filter(pairs, lambda p: ~p.rlike("(^| )[a-z]"))).alias("pair"))
-    every = counted.where(F.col("kind") == "pair").select("body", F.col("key").alias("pair"), F.col("n").alias("pairs"))
-    return longer.join(every, ["body", "pair"]).groupBy("body", "key").agg(F.max(F.col("lines") / F.col("pairs")).alias("purity")).where(F.col("purity") >= MIN_PURITY).select("body", "key")
+    of = F.split("key", "\n")
+    uses = counted.where(F.col("kind") == "use").select("body", of[0].alias("key"), of[1].alias("unit")).join(lines, ["body", "key"])
+    every = counted.where(F.col("kind") == "pair").select("body", F.col("key").alias("unit"), F.col("n").alias("units"))
+    least = F.when(F.col("unit").contains(" "), MIN_PURITY).otherwise(MIN_ALONE)
+    return uses.join(every, ["body", "unit"]).where(F.col("lines") / F.col("units") >= least).select("body", "key").distinct()
 
 
 def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MAX_HEADERS) -> DataFrame:
@@ -520,7 +536,7 @@ def _repaired_rows(batch: pd.DataFrame, vocabulary: Vocabulary | Asking, known:
         def furniture(line: str, n: int) -> bool:
             if page_form(line, at):
                 return True
-            return edge_like(line) and (title_form(line, body, date) or n > 0 and (body, edge_key(line)) in known)
+            return edge_like(line) and (title_form(line, body, date) or (body, edge_key(line)) in known)
 
         whole, cases, edges = repair_text(text, vocabulary, furniture)
         rows.append((motion, field, whole, cases, edges))
