@@ -85,6 +85,8 @@ class Automaton:
     """Seeds of all items; built once in each Python worker."""
 
     def __init__(self, items: list[tuple[int, str]]):
+        self.ids = [i for i, _ in items]
+        items = [(n, t) for n, (_, t) in enumerate(items)]  # an item may have several texts
         self.words = {i: words(t) for i, t in items}
         # the measure of length is pieces between white space, as a hyphenated word may be two words here
         self.weight = {i: [1.0 / len(w) for piece in _pieces(t) if (w := words(piece)) for _ in w] for i, t in items}
@@ -134,7 +136,7 @@ class Automaton:
             seeds = list(zip((np.searchsorted(starts, ends) - SEED).tolist(), found.tolist()))
             for group in _groups(seeds):
                 if (span := self._aligned(i, ws, group)) is not None:
-                    out.append((i, *span))
+                    out.append((self.ids[i], *span))
         return out
 
     def _aligned(self, i: int, ws: list[str], group: list[tuple[int, int]]) -> tuple[int, int] | None:
@@ -145,22 +147,29 @@ class Automaton:
         places = defaultdict(list)
         for p, w in enumerate(item):
             places[w].append(p)
-        # longest chain of equal words; from one to the next up to 3 words of the item may be lacking, and beside
-        # those up to FOREIGN words more may stand in the text
+        # first with few words lacking in a row, then with as many as may be changed in the whole item
+        for most in dict.fromkeys((3, max(3, len(item) // CHANGED))):
+            if (span := self._chained(ws[: high + most - 3], max(0, low - most + 3), places, weight, near - most + 3, far + most - 3, most)) is not None:
+                return span
+        return None
+
+    def _chained(self, ws: list[str], low: int, places: dict[str, list[int]], weight: list[float], near: int, far: int, most: int) -> tuple[int, int] | None:
+        # longest chain of equal words; from one to the next up to ``most`` words of the item may be lacking, and
+        # beside those up to FOREIGN words more may stand in the text
         best: dict[tuple[int, int], tuple[int, tuple[int, int] | None]] = {}
         recent: list[list[tuple[int, int]]] = []
-        for j in range(low, high):
+        for j in range(low, len(ws)):
             mine = []
             for p in places.get(ws[j], ()):
                 if near <= j - p <= far:
                     top, back = 0, None
                     for q, earlier in recent:
                         lacking, between = p - q[1] - 1, j - q[0] - 1
-                        if 0 <= lacking <= 3 and between <= lacking + FOREIGN and best[q][0] - 0.01 * (lacking + between) > top:
+                        if 0 <= lacking <= most and between <= lacking + FOREIGN and best[q][0] - 0.01 * (lacking + between) > top:
                             top, back = best[q][0] - 0.01 * (lacking + between), q
                     best[j, p] = (top + 1, back)
                     mine.append(((j, p), j))
-            recent = [x for x in recent if j - x[1] <= 3 + FOREIGN] + mine
+            recent = [x for x in recent if j - x[1] <= most + FOREIGN] + mine
         if not best:
             return None
         ends, used = sorted(best, key=lambda q: -best[q][0]), set()
@@ -227,14 +236,11 @@ def find_leaks(documents: DataFrame, items: DataFrame, max_items: int = MAX_ITEM
 
     documents: (doc_id, text), items: (item_id, text); further columns are left out.  Null and empty texts hold
     and yield nothing, items shorter than MIN_WORDS words yield nothing, an empty table gives an empty result.
-    An item given twice under one id is searched in the first of its texts in order; two ids with one text both
-    count.  Rows of documents repeated under one id give their pairs once.  More than ``max_items`` items are an
+    Of an item given with several texts under one id each is searched; two ids with one text both count.  Rows of documents repeated under one id give their pairs once.  More than ``max_items`` items are an
     error, as the automaton is sent to every executor.
     """
-    kept: dict[int, str] = {}
-    for i, t in sorted((tuple(r) for r in bounded_rows(items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL"), max_items, "the evaluation set"))):
-        kept.setdefault(i, t)
-    sent = send(documents.sparkSession, sorted(kept.items()))
+    kept = sorted({tuple(r) for r in bounded_rows(items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL"), max_items, "the evaluation set")})
+    sent = send(documents.sparkSession, kept)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

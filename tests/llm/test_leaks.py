@@ -69,3 +69,14 @@ def test_tables(spark):
     assert L.found(docs.limit(0), items).count() == 0 and L.found(docs, items.limit(0)).count() == 0
     with pytest.raises(ValueError):
         L.find_leaks(docs, items, max_items=1)
+
+
+def test_changed_words_in_a_row():
+    assert held(NOISE[:9] + changed(ITEM[:52], 24, 25, 26, 27) + NOISE[9:]) == {1}, "four of 52 words, all in a row"
+    assert held(NOISE[:9] + ITEM[:20] + NOISE[20:24] + ITEM[24:30] + NOISE[9:]) == set(), "four of 30 are too many"
+
+
+def test_every_text_of_an_item(spark):
+    docs = spark.createDataFrame([(1, " ".join(ITEM[:30])), (2, " ".join(NOISE[:30]))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(ITEM[:30])), (7, " ".join(NOISE[:30])), (7, " ".join(NOISE[:30]))], "item_id bigint, text string")
+    assert sorted(map(tuple, L.found(docs, items).collect())) == [(1, 7), (2, 7)]
