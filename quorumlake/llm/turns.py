@@ -196,7 +196,7 @@ def seconds(mark: str) -> int | None:
 
 
 def tag_lines(lines: list[str | None]) -> list[tuple[str | None, int | None, int, str, bool]]:
-    """(label, time in ms, words, spoken text, is the time line of a cue) of each line."""
+    """(label, time in ms, words, spoken text, holds nothing but time marks) of each line."""
     split = [tokens(x) if x else [] for x in lines]
     out: list[tuple[str | None, int | None, int, str, bool]] = [(None, None, 0, "", False)] * len(lines)
     # lines of like length together, so that the longest does not widen all
@@ -215,7 +215,7 @@ def tag_lines(lines: list[str | None]) -> list[tuple[str | None, int | None, int
             times = [t for t, s in zip(pieces, path) if s == TIME]
             said = [t for t, s in zip(pieces, path) if s == SPEECH and any(map(str.isalnum, t))]
             mark = next((ms for t in times if (ms := seconds(t)) is not None), None)
-            out[k] = (" ".join(label).rstrip(":").strip() or None, mark, len(said), " ".join(said), "-->" in times and not said)
+            out[k] = (" ".join(label).rstrip(":").strip() or None, mark, len(said), " ".join(said), mark is not None and len(times) == len(pieces))
     return out
 
 
@@ -294,7 +294,9 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
     null line counts as empty, a line equal to the one before it counts once.  Lines before the first label
     belong to nobody and are left out; before the first time mark the time is 0.  A name that fits nobody keeps
     the voice it has as a label of its own, so its words are not lost: speaker is then the name as written.
-    end_ms is the time of the turn's last line.  Empty tables give an empty result.
+    A time mark on a line of its own, as in subtitles, is that of the lines below it up to the next mark; start_ms
+    is the earliest mark of the turn's lines (that of the line before, if they have none), end_ms the latest.
+    Empty tables give an empty result.
     """
     raw = lines.where("meeting_id IS NOT NULL AND line_no IS NOT NULL").select("meeting_id", F.col("line_no").cast("bigint").alias("line_no"), F.coalesce("line", F.lit("")).alias("line"))
     raw = raw.groupBy("meeting_id", "line_no").agg(F.min("line").alias("line"))  # a row delivered twice
@@ -314,15 +316,15 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = pd.DataFrame(tag_lines(batch["line"].tolist()), columns=["label", "ms", "n_words", "said", "cue"])
+            made = pd.DataFrame(tag_lines(batch["line"].tolist()), columns=["label", "ms", "n_words", "said", "bare"])
             made["ms"] = made["ms"].astype("Int64")
             made.insert(0, "meeting_id", batch["meeting_id"].to_numpy())
             made.insert(1, "line_no", batch["line_no"].to_numpy())
             made.insert(2, "__chunk", batch["__chunk"].to_numpy())
-            yield made[["meeting_id", "line_no", "__chunk", "label", "ms", "n_words"] + ["said"] * with_text]
+            yield made[["meeting_id", "line_no", "__chunk", "label", "ms", "n_words", "bare"] + ["said"] * with_text]
 
     # used for labels and lines alike, several times over: written once, so that no line is tagged twice
-    tagged = cut(spread(kept, "meeting_id", "__chunk").mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int" + ", said string" * with_text))
+    tagged = cut(spread(kept, "meeting_id", "__chunk").mapInPandas(tag, f"meeting_id {kind}, line_no bigint, __chunk bigint, label string, ms bigint, n_words int, bare boolean" + ", said string" * with_text))
     voices = speakers.where("meeting_id IS NOT NULL AND letter IS NOT NULL AND name IS NOT NULL").select("meeting_id", "letter", "name").distinct()
     voices = voices.groupBy("meeting_id").agg(F.sort_array(F.collect_list(F.struct("letter", "name"))).alias("voices"))  # the voices of one meeting
 
@@ -332,9 +334,11 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, with_text: bool = True)
 
     labels = spread(tagged.where(F.col("label").isNotNull()).select("meeting_id", "label").distinct().join(voices, "meeting_id", "left"), "meeting_id", "label")
     labels = labels.select("meeting_id", "label", letter("label", "voices").alias("own"))
-    named = tagged.join(labels, ["meeting_id", "label"], "left")
-    filled = carried(named, "meeting_id", "__chunk", ["line_no"], {"speaker": "own", "at": "ms"}).where(F.col("speaker").isNotNull())
-    timed = cut(filled.withColumn("at", F.coalesce("at", F.lit(0))).withColumn("__hour", F.floor(F.col("at") / CHUNK_MS)))
+    named = tagged.join(labels, ["meeting_id", "label"], "left").withColumn("mark", F.when(F.col("ms").isNotNull(), F.struct("ms", "bare")))
+    filled = carried(named, "meeting_id", "__chunk", ["line_no"], {"speaker": "own", "last": "mark"}).where("speaker IS NOT NULL AND NOT bare")
+    # a mark on a line of its own, as above the text of a subtitle, is that of the lines below it and of no voice before them
+    filled = filled.withColumns({"at": F.coalesce("last.ms", F.lit(0)), "ms": F.when(F.col("last.bare"), F.col("last.ms")).otherwise(F.col("ms"))})
+    timed = cut(filled.drop("mark", "last").withColumn("__hour", F.floor(F.col("at") / CHUNK_MS)))
     first = runs(timed, "meeting_id", "__hour", ["at", "line_no"], "speaker", "__stretch")
     said = [F.sort_array(F.collect_list(F.when(F.col("n_words") > 0, F.struct("at", "line_no", "said")))).alias("parts")] if with_text else []
     stretches = first.groupBy("meeting_id", "__stretch").agg(

@@ -49,3 +49,36 @@ def test_turns(spark, monkeypatch):
         got = T.speaker_turns(lines, speakers).orderBy("meeting_id", "start_ms").collect()
         assert [(r["meeting_id"], r["speaker"], r["start_ms"] // 1000, r["n_words"], r["text"]) for r in got] == expected
     assert T.found(lines.limit(0), speakers.limit(0)).count() == 0
+
+
+def cues(*texts, step=5):
+    """Lines of a subtitle file: number, time line, text lines, blank."""
+    out = []
+    for n, text in enumerate(texts):
+        out += [str(n + 1), f"00:00:{n * step + 5:02},200 --> 00:00:{n * step + 8:02},900", *text.split("\n"), ""]
+    return out
+
+
+@pytest.mark.parametrize(
+    "lines, expected",
+    [
+        # a label in every cue
+        (cues("Speaker A: one", "Speaker A: two", "Speaker B: three"), [("A", 5, 10, 2, "one two"), ("B", 15, 15, 1, "three")]),
+        # a label in some: text without one goes on
+        (cues("Speaker A: one", "two uh", "Speaker B: three", "four"), [("A", 5, 10, 2, "one two"), ("B", 15, 20, 2, "three four")]),
+        # two voices in adjacent cues, and two in one cue
+        (cues("Speaker A: one", "Speaker B: two", "Speaker A: three\nfour\nSpeaker B: five"), [("A", 5, 5, 1, "one"), ("B", 10, 10, 1, "two"), ("A", 15, 15, 2, "three four"), ("B", 15, 15, 1, "five")]),
+        # a cue of sounds only, and a label that stands alone
+        (cues("Speaker A: one", "[applause]", "Speaker B: um", "two", "Speaker C:\nthree"), [("A", 5, 10, 1, "one"), ("B", 15, 20, 1, "two"), ("C", 25, 25, 1, "three")]),
+        # marks on lines of their own without an arrow, out of order
+        (["[0:30]", "Speaker A: two", "(0:20)", "Speaker B: one", "more", "0:40", "three"], [("B", 20, 20, 2, "one more"), ("A", 30, 30, 1, "two"), ("B", 40, 40, 1, "three")]),
+    ],
+)
+def test_marks_above_the_text(spark, monkeypatch, lines, expected):
+    table = spark.createDataFrame([(1, n, x) for n, x in enumerate(lines)], "meeting_id bigint, line_no int, line string")
+    voices = spark.createDataFrame([], "meeting_id bigint, letter string, name string")
+    for chunk_lines, chunk_ms in ((20_000, 3_600_000), (3, 7_000)):
+        monkeypatch.setattr(T, "CHUNK_LINES", chunk_lines)
+        monkeypatch.setattr(T, "CHUNK_MS", chunk_ms)
+        got = T.speaker_turns(table, voices).collect()
+        assert sorted((r["start_ms"] // 1000, r["speaker"], r["end_ms"] // 1000, r["n_words"], r["text"]) for r in got) == sorted((s, v, e, n, t) for v, s, e, n, t in expected)
