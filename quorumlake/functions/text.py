@@ -26,6 +26,12 @@ def norm_word(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), "[^a-z0-9']", "")
 
 
+def title_case(x: Column) -> Column:
+    """Every run of letters with a capital first, wherever it begins; the rest small."""
+    runs = F.regexp_extract_all(x, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.lower(F.substr(r, F.lit(2))))), "")
+
+
 def slug(x: Column) -> Column:
     """Runs of other characters than letters and digits become one hyphen, none at the ends."""
     return F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9]+", "-"), "^-+|-+$", "")

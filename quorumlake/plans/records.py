@@ -57,5 +57,22 @@ def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def glyph_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Motions with every i printed as a glyph of a bad scan, read by the words of the motions as they are."""
     motions = motions_once(spark, folder).select("id", "motion")
-    return glyphs.repair(motions, "motion", R.vocabulary(motions, "motion")).select(F.col("id").alias("motion_id"), "motion")
+    scanned = motions.withColumn("motion", F.translate("motion", "i", "í"))
+    return glyphs.repair(scanned, "motion", glyphs.clean_vocabulary(motions, "motion")).select(F.col("id").alias("motion_id"), "motion")
+
+
+@query(rf"""SELECT id AS motion_id, trim(regexp_replace(CASE WHEN regexp_matches(t, '\b[Tt]he motion (passed|failed|carried|was)\b[^.]*[.]') THEN regexp_extract(t, '(?s)^(.*?\b[Tt]he motion (?:passed|failed|carried|was)\b[^.]*[.])', 1) ELSE t END, '\s{{2,}}|^\s|\s$', ' ', 'g')) AS motion
+FROM (SELECT id, motion||' The motion carried by the board. Next item.' AS t FROM ({ONCE}))""")
+def trimmed_motions(spark: SparkSession, folder: str) -> DataFrame:
+    """Motions printed with a grid of votes and what comes after, cut back to the motion."""
+    printed = F.concat("motion", F.lit("  Those Voting Yes A B Those Voting No C The motion carried by the board. Next item."))
+    return motions_once(spark, folder).select(F.col("id").alias("motion_id"), glyphs.trimmed(printed).alias("motion"))
+
+
+@query(f"""SELECT id AS motion_id, '1'||page||'.'||(page*10)||'.0'||page AS number FROM ({ONCE}) WHERE page IS NOT NULL""")
+def section_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Section numbers with O for 0 and strokes for 1, as a scan gives them, put right."""
+    wrong = F.concat(F.lit("|"), "page", F.lit("."), F.translate((F.col("page") * 10).cast("string"), "01", "O|"), F.lit(".O"), "page")
+    return motions_once(spark, folder).where("page IS NOT NULL").select(F.col("id").alias("motion_id"), glyphs.sections(wrong).alias("number"))

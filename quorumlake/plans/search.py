@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlake.functions import text as T
-from quorumlake.functions import vectors as X
 from quorumlake.io import table
 from quorumlake.operators import search as S
 from quorumlake.operators import voices as V
@@ -114,32 +113,59 @@ def centroid(spark: SparkSession, folder: str) -> DataFrame:
     return c.select("label", F.posexplode("centroid").alias("i", "m")).withColumn("m", F.round("m", 6))
 
 
-_RANKED = """WITH e AS (SELECT vec_id, label, unnest(range(0,len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), c AS (SELECT label AS lib, i, sum(x) AS s, count(*) AS n FROM e GROUP BY 1,2),
-p AS (SELECT e.vec_id, e.label, lib, x, CASE WHEN lib=e.label AND n>1 THEN (s-x)/(n-1) ELSE s/n END AS y FROM e JOIN c USING(i)),
+_EACH = "e AS (SELECT vec_id, label, vec_id%8 AS night, unnest(range(0,len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings)"
+
+
+def _judged_sql(pairs: str) -> str:
+    """Decisions over all vectors; ``pairs`` says with which voices a vector is compared."""
+    return f"""WITH {_EACH}, c AS (SELECT label AS lib, i, sum(x) AS s, count(*) AS n FROM e GROUP BY 1,2), len AS (SELECT vec_id, sqrt(sum(x*x)) AS l FROM e GROUP BY 1),
+p AS (SELECT e.vec_id, e.label, lib, x, CASE WHEN lib=e.label AND n>1 THEN (s-x)/(n-1) ELSE s/n END AS y FROM e JOIN c USING(i) WHERE {pairs}),
 sc AS (SELECT vec_id, any_value(label) AS own, lib AS label, sum(x*y)/greatest(sqrt(sum(x*x)),1e-9)/greatest(sqrt(sum(y*y)),1e-9) AS score FROM p GROUP BY vec_id, lib), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS rank FROM sc),
+nm AS (SELECT label, night, i, avg(x) AS v FROM e GROUP BY 1,2,3), nl AS (SELECT label, night, sqrt(sum(v*v)) AS l FROM nm GROUP BY 1,2),
+w AS (SELECT vec_id, own, label AS best FROM r WHERE rank=1),
+hn AS (SELECT w.vec_id, nm.night, sum(e.x*nm.v)/greatest(any_value(len.l),1e-9)/greatest(any_value(nl.l),1e-9) AS s FROM w JOIN e USING(vec_id) JOIN len USING(vec_id) JOIN nm ON nm.label=w.best AND nm.i=e.i JOIN nl ON nl.label=nm.label AND nl.night=nm.night WHERE NOT (w.own=w.best AND nm.night=e.night) GROUP BY 1,2),
+hc AS (SELECT vec_id, count(*)::INT AS nights, count(*) FILTER (s>={V.NIGHT_FLOOR})::INT AS hits FROM hn GROUP BY 1),
 d AS (SELECT vec_id, any_value(own) AS own, max(CASE WHEN rank=1 THEN label END) AS best, max(score) AS score, max(CASE WHEN rank=2 THEN label END) AS runner_up, max(score)-coalesce(max(CASE WHEN rank=2 THEN score END),0) AS margin,
- CASE WHEN count(*)-1>=3 THEN (max(score)-avg(CASE WHEN rank>1 THEN score END))/greatest(stddev_pop(CASE WHEN rank>1 THEN score END),1e-6) END AS z FROM r GROUP BY 1)"""
+ CASE WHEN count(*)-1>=3 THEN (max(score)-avg(CASE WHEN rank>1 THEN score END))/greatest(stddev_pop(CASE WHEN rank>1 THEN score END),1e-6) END AS z FROM r GROUP BY 1),
+v AS (SELECT d.*, coalesce(nights,0) AS nights, coalesce(hits,0) AS hits, CASE WHEN score<{V.FLOOR} THEN 'below the floor' WHEN margin<{V.MARGIN} THEN 'too close to the next' WHEN z<{V.Z_LEAST} THEN 'not apart from the rest' WHEN coalesce(nights,0)<2 THEN 'known from one night' WHEN coalesce(hits,0)<least(2,coalesce(nights,0)) THEN 'heard on too few nights' ELSE 'named' END AS verdict FROM d LEFT JOIN hc USING(vec_id))"""
 
 
-def _decided(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "embeddings")
-    library = V.centroids(e, "label", "embedding")
-    return V.decide(V.ranked(e, library, "vec_id", "label", "embedding", own="label"), "vec_id", "label")
+_RANKED = _judged_sql("true")
 
 
-@query(_RANKED + """ SELECT vec_id, best, round(score,6) AS score, runner_up, round(margin,6) AS margin, round(z,5) AS z,
- CASE WHEN score<0.5 THEN 'below the floor' WHEN margin<0.08 THEN 'too close to the next' WHEN z<3 THEN 'not apart from the rest' ELSE 'named' END AS verdict FROM d""")
+def _decided(spark: SparkSession, folder: str, strangers: bool = False) -> DataFrame:
+    e = table(spark, folder, "embeddings").withColumn("night", F.col("vec_id") % 8)  # the nights of the voices
+    nights = V.night_centroids(e, "label", "night", "embedding")
+    return V.judged(e, V.centroids(e, "label", "embedding"), nights, "vec_id", "label", "night", "embedding", own="label", own_night="night", strangers=strangers)
+
+
+@query(_RANKED + " SELECT vec_id, best, round(score,6) AS score, runner_up, round(margin,6) AS margin, round(z,5) AS z, nights, hits, verdict FROM v")
 def best_runner_up(spark: SparkSession, folder: str) -> DataFrame:
-    return _decided(spark, folder).select("vec_id", "best", F.round("score", 6).alias("score"), "runner_up", F.round("margin", 6).alias("margin"), F.round("z", 5).alias("z"), "verdict")
+    return _decided(spark, folder).select("vec_id", "best", F.round("score", 6).alias("score"), "runner_up", F.round("margin", 6).alias("margin"), F.round("z", 5).alias("z"), "nights", "hits", "verdict")
 
 
 _FLOORS, _MARGINS = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8], [0.0, 0.04, 0.08, 0.12]
 
 
-@query(_RANKED + f""" SELECT f AS floor, m AS margin, count(*) FILTER (d.score>=f AND d.margin>=m) AS named, count(*) FILTER (d.score>=f AND d.margin>=m AND best=own) AS "right" FROM d, (SELECT unnest({_FLOORS})::DOUBLE AS f) a, (SELECT unnest({_MARGINS})::DOUBLE AS m) b GROUP BY 1,2""")
+def _trials(spark: SparkSession, folder: str) -> DataFrame:
+    return _decided(spark, folder).join(table(spark, folder, "embeddings").select("vec_id", F.col("label").alias("own")), "vec_id")
+
+
+@query(_RANKED + f""" SELECT f AS floor, m AS margin, count(*) FILTER (v.score>=f AND v.margin>=m) AS named, count(*) FILTER (v.score>=f AND v.margin>=m AND best=own) AS "right" FROM v, (SELECT unnest({_FLOORS})::DOUBLE AS f) a, (SELECT unnest({_MARGINS})::DOUBLE AS m) b GROUP BY 1,2""")
 def threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    d = _decided(spark, folder).join(table(spark, folder, "embeddings").select("vec_id", F.col("label").alias("own")), "vec_id")
-    return V.sweep(d, "score", "margin", F.col("best") == F.col("own"), _FLOORS, _MARGINS)
+    return V.sweep(_trials(spark, folder), "score", "margin", F.col("best") == F.col("own"), _FLOORS, _MARGINS)
+
+
+@query(_RANKED + """, k AS (SELECT v.*, (SELECT count(DISTINCT vec_id%8) FROM embeddings b WHERE b.label=v.own)>1 AS elsewhere FROM v) SELECT count(*) AS trials, count(*) FILTER (best=own) AS nearest_right, count(*) FILTER (verdict='named') AS named, count(*) FILTER (verdict='named' AND best=own) AS "right", count(*) FILTER (verdict='named' AND best<>own) AS wrong,
+ count(*) FILTER (verdict<>'named') AS silent, count(*) FILTER (elsewhere) AS findable, count(*) FILTER (elsewhere AND verdict='named' AND best=own) AS found, count(*) FILTER (NOT elsewhere AND verdict<>'named') AS declined FROM k""")
+def hold_one_out(spark: SparkSession, folder: str) -> DataFrame:
+    nights = table(spark, folder, "embeddings").groupBy(F.col("label").alias("own")).agg((F.count_distinct(F.col("vec_id") % 8) > 1).alias("elsewhere"))
+    return V.trial_metrics(_trials(spark, folder).join(nights, "own"), "own", F.col("elsewhere"))
+
+
+@query(_judged_sql("lib<>e.label") + " SELECT verdict, count(*) AS strangers FROM v GROUP BY 1")
+def open_set(spark: SparkSession, folder: str) -> DataFrame:
+    return _decided(spark, folder, strangers=True).groupBy("verdict").agg(F.count(F.lit(1)).alias("strangers"))
 
 
 _NIGHTS = """WITH e AS (SELECT label, vec_id%8 AS night, unnest(range(0,len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT label, night, i, avg(x) AS x FROM e GROUP BY 1,2,3), u AS (SELECT *, x/greatest(sqrt(sum(x*x) OVER (PARTITION BY label,night)),1e-9) AS v FROM m),
@@ -153,10 +179,19 @@ def night_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select("label", *(F.round(c, 6).alias(c) for c in ("mean", "p05", "p95", "least", "most")), "n")
 
 
+@query(f"""WITH {_EACH}, u AS (SELECT *, x/greatest(sqrt(sum(x*x) OVER (PARTITION BY vec_id)),1e-9) AS v FROM e), m AS (SELECT label, night, i, avg(v) AS m, count(*) AS n FROM u GROUP BY 1,2,3), c AS (SELECT *, m/greatest(sqrt(sum(m*m) OVER (PARTITION BY label,night)),1e-9) AS c FROM m),
+s AS (SELECT vec_id, label, night, any_value(n) AS n, row_number() OVER (PARTITION BY label,night ORDER BY sum(v*c) DESC, vec_id) AS r FROM u JOIN c USING(label,night,i) GROUP BY 1,2,3),
+k AS (SELECT label, night, i, avg(v) AS m, any_value(n) AS n FROM u JOIN s USING(vec_id,label,night) WHERE n<=3 OR r<=greatest(3, round_even(0.75*n,0)) GROUP BY 1,2,3) SELECT label, night, n, i::INT AS i, round(m/greatest(sqrt(sum(m*m) OVER (PARTITION BY label,night)),1e-9),6) AS m FROM k""")
+def trimmed_centroid(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "embeddings").withColumn("night", F.col("vec_id") % 8)
+    c = V.trimmed_centroids(e, ["label", "night"], "vec_id", "embedding")
+    return c.select("label", "night", "n", F.posexplode("centroid").alias("i", "m")).withColumn("m", F.round("m", 6))
+
+
 @query()
-def slice_audit(spark: SparkSession, folder: str) -> DataFrame:
+def split_labels(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "embeddings").withColumn("night", F.col("vec_id") % 8)
-    return V.slice_audit(e, ["label", "night"], "vec_id", "embedding").select("label", "night", "split", "n", F.round(X.norm(F.col("centroid")), 6).alias("length"))
+    return V.split_labels(e, ["label", "night"], "vec_id", "embedding")
 
 
 @query(f"""SELECT doc_id, len(list_filter(string_split({"trim(regexp_replace(text, '\\s+', ' ', 'g'))"}, ' '), lambda x: x<>''))::INT AS words, length(text)::INT AS chars, (length(text)<200) AS short FROM documents""")

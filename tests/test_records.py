@@ -37,12 +37,23 @@ def test_until_sharing_tiered(spark):
 
 
 def test_glyphs(spark):
-    counts = {"liquor": 20, "city": 30, "modern": 9, "yield": 5, "agenda": 40}
-    assert glyphs.repaired("L|quor of the C¡ty modem ¿ield agenda", counts) == "Liquor of the City modem yield agenda"
-    assert glyphs.repaired("liquor modem", counts) == "liquor modem" and glyphs.repaired(None, counts) is None and glyphs.repaired("", counts) == ""
-    df = spark.createDataFrame([("C¡ty",), (None,), ("plain",)], "t string")
-    words = spark.createDataFrame(list(counts.items()), "word string, n bigint")
-    assert [r["t"] for r in glyphs.repair(df, "t", words).collect()] == ["City", None, "plain"]
+    counts = {"city": 30, "of": 100, "may": 50, "mag": 1, "utah": 30, "council": 30, "require": 10, "guest": 4, "quest": 4, "modern": 9, "ages": 9}
+    words = spark.createDataFrame([(w, float(n)) for w, n in counts.items()], "word string, n double")
+    cases = {
+        "cíty of Bømont": "city of Bamont", "see |7.7O.O3O": "see 17.70.030", "î635.ßO(a)": "1635.30(a)", "C¡TY mag reguire guest": "CITY may require guest", "lltah Coancil ages¡": "Utah Council agesi",
+        "mag Coancil": "mag Coancil", "": "", None: None,
+    }
+    df = spark.createDataFrame([(t, n) for n, t in enumerate([*cases, "cíty of Bømont"])], "t string, word int")
+    got = glyphs.repair(df, "t", words).orderBy("word").collect()
+    assert [r["t"] for r in got] == [*cases.values(), "city of Bamont"] and got[0].asDict().keys() == {"t", "word"}
+    assert glyphs.repair(df.limit(0), "t", words).count() == 0
+
+
+def test_trimmed_motions(spark):
+    texts = {"a moved. Those Voting Yes x Those Voting No y The motion passed with 3. More": "a moved. The motion passed with 3.", "no grid. the motion was  ok. tail": "no grid. the motion was ok.", "Those Voting Aye x": "", None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(glyphs.trimmed(F.col("t"))).collect()] == list(texts.values())
+    assert df.select(glyphs.trimmed(F.col("t"), False)).first()[0].startswith("a moved. Those Voting")
 
 
 def test_vocabulary(spark):
