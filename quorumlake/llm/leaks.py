@@ -2,9 +2,13 @@
 
 Method: one Aho-Corasick automaton over runs of ``SEED`` words of every normalised evaluation text; each document
 is normalised word by word, with the offset of each word in the original kept, and scanned once.  Runs met on
-nearly the same diagonal of a document and an item are chained; where the chained runs cover enough of an item,
-the words between them are aligned, and the pair counts if some stretch of at least ``MIN_WORDS`` words of the
-item stands there with at most one word in ``CHANGED`` changed and at most ``FOREIGN`` foreign words in a row.
+nearly the same diagonal of a document and an item are chained; where the chained runs cover enough of an item, and
+enough of its words stand in that part of the document at all, the words between them are aligned, and the pair
+counts if some stretch of at least ``MIN_WORDS`` words of the item stands there with at most one word in ``CHANGED``
+changed and at most ``FOREIGN`` foreign words in a row.
+
+Bound: a passage is found if at least ``COVER`` of its words stand in runs of ``SEED`` or more.  One with a foreign or changed
+word after every second word has no such run and is missed.
 
 Scale: documents are never shuffled or joined; the evaluation set is sent to the executors (its size is
 checked), each document is one scan, and only pairs come out.
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.io import bounded_rows, built, send
 
-MAX_ITEMS, SEED, COVER = 200_000, 5, 10
+MAX_ITEMS, SEED, COVER = 200_000, 3, 10
 MIN_WORDS, CHANGED, FOREIGN = 25, 8, 3
 #: How far two runs of one passage may lie apart on the diagonal, and from run to run in the document.
 DRIFT, REACH = 12, 24
@@ -99,42 +103,100 @@ class Automaton:
             self.tree.add_word(f" {seed} ", number)
         if at:
             self.tree.make_automaton()
+        numbers: dict[str, int] = {}
+        self.numbered = {i: np.array([numbers.setdefault(w, len(numbers)) for w in ws], dtype=np.int64) for i, ws in self.words.items()}
+        self.numbers, self.present = numbers, np.zeros(len(numbers) + 1, dtype=bool)
+        lengths = [np.concatenate(([0.0], np.cumsum(w))) for w in self.weight.values()]
+        # of all items, one after another, each with a place before its first word: numbers, weights, and the last place
+        # at least MIN_WORDS earlier, -1 if there is none; the place before the first has no weight
+        self.sizes = np.array([len(x) for x in lengths], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.all_numbers = np.concatenate([x for n in self.numbered.values() for x in ([len(numbers)], n)] or [[]]).astype(np.int64)
+        self.all_weights = np.concatenate([np.diff(x, prepend=0.0) for x in lengths] or [[]])
+        self.far = np.concatenate([np.searchsorted(x, x - MIN_WORDS + 1e-6, side="right") - 1 for x in lengths] or [[]]).astype(np.int64)
         # places of each seed, one after another: the item, the word of the item
         self.n_places = np.array([len(v) for v in at.values()], dtype=np.int64)
         self.first_place = np.concatenate(([0], np.cumsum(self.n_places)))[:-1]
         self.place_item = np.array([i for v in at.values() for i, _ in v], dtype=np.int64)
         self.place_word = np.array([p for v in at.values() for _, p in v], dtype=np.int64)
 
-    def _candidates(self, line: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(item, ends of its seeds in the line, words of the item) for items of which seeds cover COVER words."""
-        hits = list(self.tree.iter(line))
-        if len(hits) < 2:
+    def _candidates(self, ws: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(item, places of its seeds in the text, words of the item) for stretches of seeds that cover COVER words of an item."""
+        hits = list(self.tree.iter(f" {' '.join(ws)} "))
+        if len(hits) < COVER // SEED + 1:
             return []
         ends, seeds = np.array(hits, dtype=np.int64).T
         n = self.n_places[seeds]
-        skip = np.repeat(self.first_place[seeds] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        skip = np.repeat(self.first_place[seeds] - (np.cumsum(n) - n), n)
         place = np.arange(len(skip)) + skip
-        item, word, ends = self.place_item[place], self.place_word[place], np.repeat(ends, n)
-        order = np.lexsort((word, item))
-        item, word, ends = item[order], word[order], ends[order]
-        starts = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1])))
-        fresh = np.minimum(SEED, np.diff(word, append=word[-1] + SEED))
-        last = np.concatenate((starts[1:], [len(item)])) - 1
-        fresh[last] = SEED
-        covered = np.add.reduceat(fresh, starts)
-        return [(int(item[s]), ends[s : e + 1], word[s : e + 1]) for s, e, c in zip(starts, last, covered) if c >= COVER]
+        item = self.place_item[place]
+        # items with seeds enough, then those whose words stand in the text at all; few are left
+        often = np.bincount(item)
+        items = np.flatnonzero(often > COVER // SEED)
+        get = self.numbers.get
+        near = [k for w in set(ws) if (k := get(w)) is not None]
+        self.present[near] = True
+        items = items[self._may_hold(items, lambda _, numbers: self.present[numbers])]
+        self.present[near] = False
+        if not len(items):
+            return []
+        wanted = np.zeros(len(often), dtype=bool)
+        wanted[items] = True
+        kept = np.flatnonzero(wanted[item])
+        starts = np.cumsum([len(w) + 1 for w in ws])
+        item, word, at = item[kept], self.place_word[place[kept]], np.searchsorted(starts, np.repeat(ends, n)[kept]) + 1 - SEED
+        order = np.argsort(item, kind="stable")  # hits come in the order of the text
+        item, word, at = item[order], word[order], at[order]
+        stretch = np.concatenate(([0], np.cumsum((item[1:] != item[:-1]) | (at[1:] - at[:-1] > REACH + SEED))))
+        sizes = np.bincount(stretch)
+        first = np.cumsum(sizes) - sizes
+        fresh = np.minimum(SEED, np.diff(word[np.lexsort((word, stretch))], append=0))
+        fresh[first + sizes - 1] = SEED
+        covered = np.add.reduceat(fresh, first)
+        return [(int(item[first[k]]), at[first[k] : first[k] + sizes[k]], word[first[k] : first[k] + sizes[k]]) for k in np.flatnonzero(covered >= COVER)]
+
+    def _may_hold(self, items: np.ndarray, stands) -> np.ndarray:
+        """For each of the items (one may come twice) whether it has a stretch long enough of whose words few enough are lacking.
+
+        stands(own, numbers) says which words stand in the text, own being the place among the items.
+        """
+        n = self.sizes[items]
+        own = np.repeat(np.arange(len(items)), n)
+        shift = np.cumsum(n) - n
+        place = np.arange(len(own)) + np.repeat(self.begins[items] - shift, n)
+        weights = self.all_weights[place]
+        score = np.cumsum(np.where(stands(own, self.all_numbers[place]), weights, (1.0 - CHANGED) * weights))
+        low = 1e7 * own  # keeps the least score of one item from the next
+        least = np.minimum.accumulate(score - low) + low
+        far = self.far[place]
+        some = np.flatnonzero(far >= 0)
+        good = some[score[some] - least[far[some] + shift[own[some]]] >= -1e-5]
+        out = np.zeros(len(items), dtype=bool)
+        out[own[good]] = True
+        return out
 
     def leaks(self, text: str) -> list[tuple[int, int, int]]:
         """(item, first word, word after the last) for each item that the text holds; the words are the text's."""
         ws = words(text) if text and len(self.place_item) else []
-        if len(ws) < SEED:
+        found = self._candidates(ws) if len(ws) >= SEED else []
+        if not found:
             return []
-        out, starts = [], None
-        for i, ends, found in self._candidates(f" {' '.join(ws)} "):
-            if starts is None:
-                starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in ws])))
-            seeds = list(zip((np.searchsorted(starts, ends) - SEED).tolist(), found.tolist()))
-            for group in _groups(seeds):
+        # the same test again for each stretch of seeds, of the words around it only: by the sorted places of each word
+        items = np.array([i for i, _, _ in found])
+        reach = 2 * REACH + np.maximum(0, self.sizes[items] // CHANGED - 3)
+        low, high = np.array([at[0] for _, at, _ in found]) - reach, np.array([at[-1] for _, at, _ in found]) + SEED + reach
+        size = len(ws) + 1
+        at = np.array([k * size + n for n, w in enumerate(ws) if (k := self.numbers.get(w)) is not None], dtype=np.int64)
+        at.sort()
+        low, high = np.maximum(low, 0), np.minimum(high, len(ws))
+
+        def stands(own: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+            return np.searchsorted(at, numbers * size + low[own]) < np.searchsorted(at, numbers * size + high[own])
+
+        out = []
+        for k in np.flatnonzero(self._may_hold(items, stands)).tolist():
+            i, places, of = found[k]
+            for group in _groups(list(zip(places.tolist(), of.tolist()))):
                 if (span := self._aligned(i, ws, group)) is not None:
                     out.append((self.ids[i], *span))
         return out

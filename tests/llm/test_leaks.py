@@ -80,3 +80,42 @@ def test_every_text_of_an_item(spark):
     docs = spark.createDataFrame([(1, " ".join(ITEM[:30])), (2, " ".join(NOISE[:30]))], "doc_id bigint, text string")
     items = spark.createDataFrame([(7, " ".join(ITEM[:30])), (7, " ".join(NOISE[:30])), (7, " ".join(NOISE[:30]))], "item_id bigint, text string")
     assert sorted(map(tuple, L.found(docs, items).collect())) == [(1, 7), (2, 7)]
+
+
+@pytest.mark.parametrize("gap, true", [(3, {1}), (4, {1}), (5, {1}), (8, {1})])
+def test_foreign_words_all_along(gap, true):
+    for foreign in (1, 2, 3):
+        passage = [x for k, w in enumerate(ITEM[:40]) for x in ([w] + ["zz"] * foreign if k % gap == gap - 1 else [w])]
+        assert held(NOISE[:30] + passage + NOISE[30:60]) == true
+
+
+def test_changed_and_foreign_words_in_short_runs():
+    runs = [3, 4, 3, 4, 3, 4, 3, 4]
+    passage, at = [], 0
+    for k, n in enumerate(runs):
+        passage += ITEM[at : at + n] + (["qq"] if k in (1, 3, 5) else ["zz"])
+        at += n + (k in (1, 3, 5))  # after those runs a word of the item is changed, after the others one is put in
+    assert held(NOISE[:30] + passage + NOISE[30:60]) == {1}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_nothing_is_lost_before_the_alignment(seed):
+    """What the tests before the alignment let through holds every passage with runs of three words that cover ten."""
+    r = random.Random(100 + seed)
+    items = [(n, " ".join(WORDS(r.randint(20, 90), 50 + n))) for n in range(12)]
+    n, text = r.choice(items)
+    ws = text.split()
+    start, foreign = r.randint(0, max(0, len(ws) - 25)), 0
+    passage, lost = [], 0
+    for k, w in enumerate(ws[start : start + 30]):
+        if k % 8 == 7 and lost < 3:
+            passage.append("qq")
+            lost += 1
+        else:
+            passage.append(w)
+        if k % 4 == 3 and r.random() < 0.6:
+            passage += ["zz"] * r.randint(1, 3)
+            foreign += 1
+    doc = [x for m in range(3) for x in WORDS(r.randint(5, 60), 300 + m)] + passage + WORDS(40, 400)
+    want = {n} if len(ws[start : start + 30]) >= 26 else set()
+    assert {i for i, _, _ in L.Automaton(items).leaks(" ".join(doc))} >= want
