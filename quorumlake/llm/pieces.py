@@ -4,10 +4,10 @@ Method: a text is worked on in ranges of ``range_size`` characters.  The worker
 a halo on either side, and in the halo finds the boundary at which the next range takes over, so two neighbours
 agree on the seam without talking to each other.  Between two seams it cuts pieces greedily at the last
 paragraph, sentence, line or word end that fits.  Pieces are emitted by offset; numbers of pieces before a range
-are a prefix sum over the ranges of that text.  Nothing ever holds a whole giant text: a range is at most
-``range_size`` characters plus the halos.
+are a prefix sum over the boundary table, one row a range of that text.  No worker of pieces holds more than a
+range and its halos; a text that is a row of a table is one string when it is read, a file (``split_files``) never is.
 
-Texts of one range (nearly all) need no shuffle at all.  Only counts of pieces of longer texts are shuffled.
+Texts of one range need no shuffle at all.  Of longer ones only windows and counts of pieces are shuffled.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LIMIT, OVERLAP = 1_400, 160
-RANGE = 1 << 20
+RANGE = 1 << 14
 #: Kinds of cuts, best first.
 PARAGRAPH, SENTENCE, LINE, WORD, HARD = range(5)
 _ENDS = [
@@ -75,7 +75,8 @@ def cut_span(text: str, first: int, last: int, limit: int = LIMIT, overlap: int
     end, start = first, overlap_start(text, max(0, first - limit), first, overlap) if more and first else first
     while end < last:
         if last - start <= limit:
-            pieces.append((start, last, WORD))
+            inside = last < len(text) and not text[last - 1].isspace() and not text[last].isspace()
+            pieces.append((start, last, HARD if inside else WORD))
             break
         cut = natural_end(text, end, min(last, start + limit))
         if cut is None and start < end:
@@ -111,63 +112,77 @@ def _range_pieces(text: str, number: int, range_size: int, halo: int, limit: int
     return base, cut_span(text, first, last, limit, overlap, more=number > 0) if last > first else []
 
 
-def split_texts(texts: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, range_size: int = RANGE, with_text: bool = True, numbered: bool = True) -> DataFrame:
-    """Ordered pieces of every text: (key, piece_no, start, end, cut, n_range, [piece]), offsets in code points.
+def _windows(texts: DataFrame, key: str, text: str, range_size: int, halo: int, several: bool) -> DataFrame:
+    """(key, n_range, __text): the whole text of texts of one range, or the window of each range of longer ones.
+
+    A window is cut out where the text is read, so a long text is never repeated.
+    """
+    size = F.length(F.col(text))
+    if not several:
+        return texts.where((size > 0) & (size <= range_size + halo)).select(F.col(key), F.lit(0).alias("n_range"), F.col(text).alias("__text"))
+    ranges = F.sequence(F.lit(0), F.floor((size - 1) / range_size).cast("int"))
+    window = lambda n: F.substr(F.col(text), F.greatest(F.lit(0), n * range_size - halo) + 1, F.lit(range_size + 2 * halo))
+    cut = F.transform(ranges, lambda n: F.struct(n.alias("n_range"), window(n).alias("__text")))
+    return texts.where(size > range_size + halo).select(F.col(key), F.inline(cut))
+
+
+def split_texts(texts: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, range_size: int = RANGE) -> DataFrame:
+    """Ordered pieces of every text: (key, piece_no, start, end, cut, n_range, piece), offsets in code points.
 
     key: a column unique per row; repeated keys are repeated texts and each is cut by itself only if the key
     tells them apart, so give a unique one.  A null text has no piece, an empty one neither; a text within the
     limit is one piece.  ``cut`` is 0 paragraph, 1 sentence, 2 line, 3 word (or the end of the text), 4 inside a
     stretch without white space longer than the limit.  Further columns of ``texts`` are left out, so names
-    cannot clash; join them back by the key.  Without ``numbered`` the piece numbers are left out, and with them
-    the one step that looks at longer texts again.
+    cannot clash; join them back by the key.
     """
     if limit <= 2 * overlap or range_size < 4 * limit:
         raise ValueError("the limit must exceed twice the overlap, and a range four limits")
     halo = 2 * limit
-    size = F.length(F.col(text))
-    ranges = F.when(size <= range_size + halo, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), ((size - 1) / range_size).cast("int")))
-    begin = F.greatest(F.lit(0), F.col("n_range") * range_size - halo)
-    whole = texts.where(size > 0).select(F.col(key), F.col(text).alias("__text"), F.explode(ranges).alias("n_range"), size.alias("__size"))
-    window = F.when(F.col("__size") <= range_size + halo, F.col("__text")).otherwise(F.substring(F.col("__text"), begin + 1, F.lit(range_size + 2 * halo)))
-    parts = whole.select(key, "n_range", (F.col("__size") <= range_size + halo).alias("__one"), window.alias("__text"))
     kind = texts.schema[key].dataType.simpleString()
-    out = f"`{key}` {kind}, n_range int, one boolean, n_local int, start bigint, end bigint, cut int" + ", piece string" * with_text
+    names = [key, "n_range", "n_local", "start", "end", "cut", "piece"]
+    out = f"`{key}` {kind}, n_range int, n_local int, start bigint, end bigint, cut int, piece string"
+
+    def spans(n: int, body: str, several: bool) -> tuple[int, list[tuple[int, int, int]]]:
+        if several:
+            return _range_pieces(body, n, range_size, halo, limit, overlap)
+        return 0, cut_span(body, 0, len(body), limit, overlap) if len(body) > limit else [(0, len(body), WORD)]
+
+    def pieces(several: bool):
+        def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for k, n, body in batch.itertuples(index=False):
+                    base, found = spans(n, body, several)
+                    rows += [(k, n, i, base + a, base + b, cut, body[a:b]) for i, (a, b, cut) in enumerate(found)]
+                    if len(rows) > 20_000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+                yield pd.DataFrame(rows, columns=names)
+
+        return emit
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for k, n, one, body in batch.itertuples(index=False):
-                if one:
-                    base, found = 0, cut_span(body, 0, len(body), limit, overlap) if len(body) > limit else [(0, len(body), WORD)]
-                else:
-                    base, found = _range_pieces(body, n, range_size, halo, limit, overlap)
-                for i, (a, b, cut) in enumerate(found):
-                    rows.append((k, n, one, i, base + a, base + b, cut, body[a:b])[: 8 if with_text else 7])
-                if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
-
-    names = [key, "n_range", "one", "n_local", "start", "end", "cut"] + ["piece"] * with_text
-    if not numbered:
-        return parts.mapInPandas(pieces, out).drop("one", "n_local")
-    kept = [key, "piece_no", "start", "end", "cut", "n_range"] + ["piece"] * with_text
-    single = parts.where("__one").mapInPandas(pieces, out).withColumn("piece_no", F.col("n_local")).select(*kept)
-    many = parts.where(~F.col("__one")).mapInPandas(pieces, out)
-    before = Window.partitionBy(key).orderBy("n_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = many.groupBy(key, "n_range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    longer = many.join(counts.select(key, "n_range", "before"), [key, "n_range"]).withColumn("piece_no", (F.col("before") + F.col("n_local")).cast("int"))
-    return single.unionByName(longer.select(*kept))
-
-
-def found(documents: DataFrame) -> DataFrame:
-    """(doc_id, at_space) of each document over the limit, from the pieces the operator makes of it.
-
-    A document over the limit has two pieces or more, and a cut of kind HARD only where white space is lacking.
+            yield pd.DataFrame([(k, n, len(spans(n, body, True)[1])) for k, n, body in batch.itertuples(index=False)], columns=[key, "n_range", "n"])
+
+    one, many = (_windows(texts, key, text, range_size, halo, several) for several in (False, True))
+    single = one.mapInPandas(pieces(False), out).withColumn("before", F.lit(0))
+    # the boundary table of longer texts, then their pieces by offset
+    upto = Window.partitionBy(key).orderBy("n_range").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = many.mapInPandas(sizes, f"`{key}` {kind}, n_range int, n int").groupBy(key, "n_range").agg(F.max("n").alias("n"))
+    bounds = bounds.select(key, "n_range", F.coalesce(F.sum("n").over(upto), F.lit(0)).cast("int").alias("before"))
+    longer = many.mapInPandas(pieces(True), out).join(bounds, [key, "n_range"])
+    return single.unionByName(longer).select(key, (F.col("before") + F.col("n_local")).alias("piece_no"), "start", "end", "cut", "n_range", "piece")
+
+
+def found(documents: DataFrame, range_size: int = RANGE) -> DataFrame:
+    """(doc_id, at_space) of each document over the limit, from the numbered pieces the operator makes of it.
+
+    A document over the limit has a second piece, and a cut of kind HARD only where white space is lacking.
     """
-    pieces = split_texts(documents, with_text=False, numbered=False)
-    whole = pieces.groupBy("doc_id").agg(F.max("end").alias("n"), F.max("cut").alias("worst"))
-    return whole.where(F.col("n") > LIMIT).select("doc_id", F.when(F.col("worst") == HARD, 0).otherwise(1).cast("int").alias("at_space"))
+    pieces = split_texts(documents, range_size=range_size)
+    whole = pieces.groupBy("doc_id").agg(F.max("piece_no").alias("last"), F.max("cut").alias("worst"))
+    return whole.where("last > 0").select("doc_id", F.when(F.col("worst") == HARD, 0).otherwise(1).cast("int").alias("at_space"))
 
 
 # ---- giant files -------------------------------------------------------------------------------------------

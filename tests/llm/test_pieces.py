@@ -72,6 +72,32 @@ def test_found(spark):
     assert sorted(tuple(r) for r in P.found(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()) == [(2, 1), (3, 0), (4, 1)]
 
 
+@pytest.mark.parametrize("range_size", [6_000, P.RANGE])
+def test_found_over_the_corpus(spark, range_size):
+    """Seams run on the longer texts; what comes out is what a look at the whole texts gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {(r["doc_id"], int(not re.search(r"\S{1401}", r["text"]))) for r in docs.select("doc_id", "text").collect() if r["text"] and len(r["text"]) > P.LIMIT}
+    assert {tuple(r) for r in P.found(docs, range_size).collect()} == want
+    pieces = P.split_texts(docs, range_size=range_size)
+    assert pieces.where("n_range > 0").count() > 0
+    long = {r["doc_id"]: r["text"] for r in docs.where(F.length("text") > range_size + 2 * P.LIMIT).collect()}
+    by = {}
+    for r in pieces.where(F.col("doc_id").isin(list(long))).collect():
+        by.setdefault(r["doc_id"], []).append(r)
+    for k, text in long.items():
+        rows = sorted(by[k], key=lambda r: r["piece_no"])
+        assert [r["piece_no"] for r in rows] == list(range(len(rows))) and rows[0]["start"] == 0 and rows[-1]["end"] == len(text)
+        assert all(r["piece"] == text[r["start"] : r["end"]] and len(r["piece"]) <= P.LIMIT for r in rows) and all(b["start"] <= a["end"] < b["end"] for a, b in zip(rows, rows[1:]))
+
+
+def test_a_seam_within_a_stretch_is_a_hard_cut(spark):
+    rows = spark.createDataFrame([(1, "a" * 40_000), (2, "b " * 9_000 + "c" * 3_000 + " d" * 9_000)], "doc_id bigint, text string")
+    pieces = P.split_texts(rows, range_size=6_000).collect()
+    for k, text in ((1, "a" * 40_000), (2, "b " * 9_000 + "c" * 3_000 + " d" * 9_000)):
+        ends = {r["end"]: r["cut"] for r in pieces if r["doc_id"] == k}
+        assert all((cut == P.HARD) == (e < len(text) and not text[e - 1].isspace() and not text[e].isspace()) for e, cut in ends.items())
+
+
 def test_files(spark, tmp_path):
     texts = {f"{n}.txt": made(n, size) for n, size in enumerate((0, 10, 20_000, 90_000))}
     for name, text in texts.items():
