@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 
@@ -25,10 +27,33 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Use the folder the session names in spark.checkpoint.dir; set one of our own only where none is named."""
+    """Use the folder the session names in spark.checkpoint.dir; set one of our own only where none is named.
+
+    A folder of our own is on this machine, so it serves a local master only; on a cluster a name is asked for.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quorumlake-checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quorumlake-checkpoints-"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    shared_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}"
+
+
+def state_of(spark: SparkSession, path: str) -> str:
+    """What tells that the files of a table have changed: names, lengths and times of all of them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    files, out = where.getFileSystem(conf).listFiles(where, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(out)).encode()).hexdigest()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -1,12 +1,17 @@
-"""Retrieval: token index, BM25 with boosts, the claim search, greedy selection and novelty."""
+"""Retrieval: a written index of postings, BM25 with boosts, the claim search, greedy selection and novelty.
+
+The corpus is read once, when its index is written.  Postings are sorted by term over files of equal size, so a question reads
+the few pages of its terms, and hold all that a score needs, so it joins nothing.
+"""
 
 from __future__ import annotations
 
 import re
-from functools import reduce
+from dataclasses import dataclass
+from functools import cached_property
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorumlake.functions import text as T
@@ -17,20 +22,78 @@ KIND_WEIGHT = {"tax": 1.25, "budget": 1.25, "meeting": 1.1, "motion": 1.0, "tran
 PINNED = ("overview", "member", "upcoming")
 
 
+def idf(n: Column, df: Column) -> Column:
+    return F.greatest(F.lit(0.3), F.log(1 + (n - df + 0.5) / (df + 0.5)))
+
+
+def _stemmed(words: DataFrame) -> DataFrame:
+    """``words`` with ``term``, the stem of ``w``: stems are taken of the distinct words and joined."""
+    stems = words.select("w").distinct().select("w", T.stem(F.col("w")).alias("term"))
+    return words.join(stems, "w")
+
+
+def _text(title: str = "title", text: str = "text") -> Column:
+    return F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
+
+
 def postings(docs: DataFrame, places: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, term, tf, dl): how often each index token stands in title and text, and the tokens of the document."""
-    # words are stemmed after they are rows, where the expression is compiled
-    words = docs.select("doc_id", T.index_words(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))), places).alias("t"))
-    rows = words.select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("w"))
-    return rows.select("doc_id", "dl", T.stem(F.col("w")).alias("term")).groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    """(term, doc_id, tf, dl, in_title, in_tags, kind, body, date): one row for each stem that a document holds.
 
+    docs: (doc_id, title, text, tags, kind, body, date), doc_id unique.  tf counts title and text, dl all their index words;
+    a stem of tags only has a tf of 0.  in_title looks at the first 200 characters of the title.
+    """
+    place = lambda n, x: F.transform(T.index_words(x, places), lambda w: F.struct(F.lit(n).alias("at"), w.alias("w")))
+    every = F.concat(place(0, _text()), place(1, F.left(F.coalesce("title", F.lit("")), F.lit(200))), place(2, F.array_join(F.coalesce("tags", F.array().cast("array<string>")), " ")))
+    meta = ("dl", "kind", "body", "date")
+    rows = docs.withColumn("__x", every).select("doc_id", "kind", "body", "date", F.size(F.filter("__x", lambda x: x["at"] == 0)).alias("dl"), F.explode("__x").alias("x"))
+    sums = (F.sum("tf").alias("tf"), F.bool_or("in_title").alias("in_title"), F.bool_or("in_tags").alias("in_tags"), *(F.any_value(c).alias(c) for c in meta))
+    raw = rows.select("doc_id", *meta, F.col("x.w").alias("w"), (F.col("x.at") == 0).cast("int").alias("tf"), (F.col("x.at") == 1).alias("in_title"), (F.col("x.at") == 2).alias("in_tags"))
+    return _stemmed(raw.groupBy("doc_id", "w").agg(*sums)).groupBy("term", "doc_id").agg(*sums)
 
-def idf(n: Column, df: Column) -> Column:
-    return F.greatest(F.lit(0.3), F.log(1 + (n - df + 0.5) / (df + 0.5)))
 
+def claim_postings(docs: DataFrame) -> DataFrame:
+    """(term, doc_id, len, kind): one row for each word of the claim search that a document holds; len is the number of them."""
+    sets = docs.select("doc_id", "kind", F.array_distinct(T.claim_tokens(_text())).alias("s"))
+    return sets.select("doc_id", "kind", F.size("s").alias("len"), F.explode("s").alias("term"))
 
-def document_frequency(posts: DataFrame) -> DataFrame:
-    return posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+def write_index(docs: DataFrame, path: str, places: tuple[str, ...] = (), files: int | None = None) -> Index:
+    """Writes the index of a corpus to a shared folder and opens it.  Hot terms are spread over files, as the ranges are of
+    (term, doc_id)."""
+    n = files or max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    for name, rows in (("postings", postings(docs, places)), ("words", claim_postings(docs))):
+        rows.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode("overwrite").option("parquet.block.size", 8 << 20).option("parquet.page.row.count.limit", 4_000).parquet(f"{path}/{name}")
+    index = Index(docs.sparkSession, path)
+    index.postings.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
+    # documents without a word count in the means, so sums are taken over postings and divided by all documents
+    number = docs.agg(F.count("doc_id").alias("n"))
+    lengths = index.postings.agg(F.sum("tf").alias("tokens")).crossJoin(index.words.agg(F.count(F.lit(1)).alias("set_words")))  # one row each
+    number.crossJoin(lengths).write.mode("overwrite").parquet(f"{path}/stats")
+    return index
+
+
+@dataclass
+class Index:
+    """A written index: tables postings, words, terms (term, df) and one row of statistics."""
+
+    spark: SparkSession
+    path: str
+
+    @cached_property
+    def stats(self) -> Row:
+        return self.spark.read.parquet(f"{self.path}/stats").first()
+
+    @property
+    def postings(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/postings")
+
+    @property
+    def words(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/words")
+
+    @property
+    def terms(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/terms")
 
 
 def query_terms(question: str, prior: list[str], aliases: dict[str, list[str]], spark: SparkSession) -> DataFrame:
@@ -39,71 +102,66 @@ def query_terms(question: str, prior: list[str], aliases: dict[str, list[str]],
     words = asked.select("turn", F.explode(T.tokens(F.col("q"))).alias("term"))
     if aliases:
         other = spark.createDataFrame([(a, b) for a, bs in aliases.items() for b in bs], "term string, alias string")
-        words = words.unionByName(words.join(F.broadcast(other), "term").select("turn", T.stem(F.col("alias")).alias("term")))
+        words = words.unionByName(words.join(other, "term").select("turn", T.stem(F.col("alias")).alias("term")))
     weight = F.when(F.min("turn") == 0, 1.0).otherwise(0.35)
     return words.groupBy("term").agg(weight.alias("weight"), (F.min("turn") == 0).alias("required"))
 
 
-def bm25(docs: DataFrame, terms: DataFrame, body: str | None = None, now: str | None = None, recency_weight: float = 0.3, recency_days: float = 1800.0) -> DataFrame:
+def bm25(index: Index, terms: DataFrame, body: str | None = None, now: str | None = None, recency_weight: float = 0.3, recency_days: float = 1800.0) -> DataFrame:
     """(doc_id, score) of documents that hold a required term, by BM25 with boosts for title, tags, kind and date.
 
-    docs: (doc_id, title, text, tags, kind, body, date).  The length and the terms asked for are taken in one pass
-    over the tokens: each document keeps the counts of the few query terms only, so nothing of the size of the corpus
-    is shuffled.  Statistics are over all documents.
+    Reads the postings of the question's terms only; statistics are over all documents of the index.
     """
     asked = terms.collect()  # the words of a question
     names = [r["term"] for r in asked]
-
-    def any_term(w: Column) -> Column:
-        return reduce(lambda a, b: a | b, (T.stems_to(w, n) for n in names), F.lit(False))
-
-    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
-    title = F.exists(T.index_words(F.left(F.coalesce("title", F.lit("")), F.lit(200))), any_term)
-    tagged = F.exists(T.index_words(F.array_join(F.coalesce("tags", F.array()), " ")), any_term)
-    flat = docs.select("doc_id", title.alias("title_hit"), tagged.alias("tag_hit"), "kind", "body", "date", F.explode_outer(T.index_words(text)).alias("w"))
-    # counts of the few terms are summed before the shuffle, so one row a document travels
-    meta = ("title_hit", "tag_hit", "kind", "body", "date")
-    held = flat.groupBy("doc_id").agg(F.count("w").alias("dl"), *(F.any_value(c).alias(c) for c in meta), *(F.count_if(T.stems_to(F.col("w"), n)).alias(f"__{i}") for i, n in enumerate(names)))
-    stats = held.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"__{i}") > 0).alias(f"df{i}") for i in range(len(names))))
-    scored = held.join(F.broadcast(stats), F.lit(True))  # one row
-    parts, required = [], F.lit(False)
-    for i, r in enumerate(asked):
-        f = F.col(f"__{i}").cast("double")
-        parts.append(F.when(f > 0, idf(F.col("n"), F.col(f"df{i}")) * r["weight"] * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))).otherwise(0.0))
-        required = required | ((f > 0) if r["required"] else F.lit(False))
-    any_required = any(r["required"] for r in asked)
-    score = sum(parts, F.lit(0.0))
-
+    held = index.postings.where(F.col("term").isin(names) & ~F.coalesce("kind", F.lit("")).isin(*PINNED))
+    if body:
+        held = held.where(F.coalesce("body", F.lit("")).isin(body, ""))
+    df = {r["term"]: r["df"] for r in index.terms.where(F.col("term").isin(names)).collect()}
+    n, average = float(index.stats["n"]), (index.stats["tokens"] or 0) / max(index.stats["n"], 1)
+    of = lambda value: F.coalesce(*(F.when(F.col("term") == r["term"], value(r)) for r in asked), F.lit(None))
+    weight = of(lambda r: idf(F.lit(n), F.lit(float(df.get(r["term"], 0)))) * r["weight"])
+    tf = F.col("tf").cast("double")
+    part = F.when(tf > 0, weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.lit(average)))).otherwise(0.0)
+    required = [r["term"] for r in asked if r["required"]]
+    scored = held.groupBy("doc_id").agg(
+        F.sum(part).alias("score"), F.bool_or("in_title").alias("in_title"), F.bool_or("in_tags").alias("in_tags"), F.bool_or(F.col("term").isin(required or names) & (F.col("tf") > 0)).alias("asked"),
+        F.any_value("kind").alias("kind"), F.any_value("date").alias("date"),
+    )
     kind = F.coalesce(*(F.when(F.col("kind") == k, w) for k, w in KIND_WEIGHT.items()), F.lit(1.0))
-    score = score * F.when(F.col("title_hit"), TITLE_BOOST).otherwise(1.0) * F.when(F.col("tag_hit"), TAG_BOOST).otherwise(1.0) * kind
+    score = F.col("score") * F.when(F.col("in_title"), TITLE_BOOST).otherwise(1.0) * F.when(F.col("in_tags"), TAG_BOOST).otherwise(1.0) * kind
     if now:
         age = F.datediff(F.to_date(F.lit(now)), F.try_to_timestamp("date", F.lit("yyyy-MM-dd")).cast("date"))
         score = score * F.when(age.isNull(), 1.0).otherwise(1.0 + recency_weight * F.exp(-F.greatest(age, F.lit(0)) / recency_days))
-    kept = scored.where(~F.coalesce("kind", F.lit("")).isin(*PINNED))
-    if body:
-        kept = kept.where(F.coalesce("body", F.lit("")).isin(body, ""))
-    kept = kept.where(required) if any_required else kept
-    return kept.select("doc_id", score.alias("score")).where("score > 0")
+    return scored.where("asked").select("doc_id", score.alias("score")).where("score > 0")
 
 
-def claim_search(docs: DataFrame, claim: str, most: int = 8) -> DataFrame:
+def claim_search(index: Index, docs: DataFrame, claim: str, most: int = 8) -> DataFrame:
     """(doc_id, score): documents that hold every quoted phrase of the claim, by the weight of the set of words they share with it.
 
-    docs: (doc_id, title, text, kind).  A document of kind claim counts a quarter more.
+    Words are looked up in the index; texts are read only where the claim quotes something.  A document of kind claim counts a
+    quarter more.
     """
     phrases = [p.lower() for p in re.findall(r'"([^"]+)"', claim)]
-    spark = docs.sparkSession
-    words = [r["w"] for r in spark.range(1).select(F.explode(F.array_distinct(T.claim_tokens(F.lit(claim.replace('"', " "))))).alias("w")).collect()]
-    hay = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))))
-    sets = docs.select("doc_id", "kind", hay.alias("hay")).withColumn("s", F.array_distinct(T.claim_tokens(F.col("hay"))))
-    held = sets.select("doc_id", "kind", F.size("s").alias("len"), *(F.array_contains("s", w).alias(f"__{i}") for i, w in enumerate(words)), *(F.contains("hay", F.lit(p)).alias(f"__p{i}") for i, p in enumerate(phrases)))
-    stats = held.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg"), *(F.count_if(F.col(f"__{i}")).alias(f"df{i}") for i in range(len(words))))
-    rows = held.join(F.broadcast(stats), F.lit(True))  # one row
-    for i in range(len(phrases)):
-        rows = rows.where(F.col(f"__p{i}"))
-    weight = sum((F.when(F.col(f"__{i}"), F.log(1 + F.col("n") / (1 + F.col(f"df{i}")))).otherwise(0.0) for i in range(len(words))), F.lit(0.0))
-    score = weight * F.col("avg") / (F.col("avg") + F.col("len")) * F.when(F.col("kind") == "claim", 1.25).otherwise(1.0)
-    return rows.select("doc_id", F.round(score, 6).alias("score")).where("score > 0").orderBy(F.desc("score"), "doc_id").limit(most)
+    words = [r["w"] for r in index.spark.range(1).select(F.explode(F.array_distinct(T.claim_tokens(F.lit(claim.replace('"', " "))))).alias("w")).collect()]
+    held = index.words.where(F.col("term").isin(words))
+    df = {r["term"]: r["df"] for r in held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}  # the words of a claim
+    n, average = float(index.stats["n"]), index.stats["set_words"] / max(index.stats["n"], 1)
+    weight = F.coalesce(*(F.when(F.col("term") == w, F.log(1 + F.lit(n) / (1.0 + df[w]))) for w in words if w in df), F.lit(0.0))
+    score = F.sum(weight) * F.any_value(F.lit(average) / (F.lit(average) + F.col("len"))) * F.any_value(F.when(F.col("kind") == "claim", 1.25).otherwise(1.0))
+    found = held.groupBy("doc_id").agg(F.round(score, 6).alias("score"))
+    if phrases:
+        low = F.lower(_text())
+        quoting = docs.where(_all(F.contains(low, F.lit(p)) for p in phrases)).select("doc_id")
+        found = found.join(quoting, "doc_id", "left_semi")
+    return found.where("score > 0").orderBy(F.desc("score"), "doc_id").limit(most)
+
+
+def _all(conditions) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
 
 
 def select_passages(ranked: DataFrame, k: int = 8, budget: int = 16_000, transcripts: int = 2, per_url: int = 2) -> list[dict]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlake.functions import text as T
-from quorumlake.io import table
+from quorumlake.io import shared_folder, state_of, table
 from quorumlake.operators import search as S
 from quorumlake.operators import voices as V
 from quorumlake.plans.registry import query
@@ -31,12 +33,28 @@ def tokens_sql(source: str, key: str, text: str) -> str:
 _DOC_TOKENS = tokens_sql("documents", "doc_id", "concat_ws(' ', coalesce(title,''), coalesce(text,''))")
 
 
+_indexes: dict[tuple[str, str], tuple[str, S.Index]] = {}
+
+
+def index_of(spark: SparkSession, folder: str) -> S.Index:
+    """The written index of the corpus, made at the first question and again when the files of the corpus have changed."""
+    key, state = (spark.sparkContext.applicationId, folder), state_of(spark, f"{folder}/documents.parquet")
+    if key not in _indexes or _indexes[key][0] != state:
+        _indexes[key] = state, S.write_index(table(spark, folder, "documents"), shared_folder(spark, f"index/{uuid.uuid4()}"))
+    return _indexes[key][1]
+
+
+@query(f"WITH t AS {_DOC_TOKENS} SELECT (SELECT count(*) FROM documents) AS n, count(*)::BIGINT AS tokens, count(DISTINCT term) AS terms FROM t")
+def retrieval_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes the index anew and gives its sizes."""
+    index = S.write_index(table(spark, folder, "documents"), shared_folder(spark, f"index/{uuid.uuid4()}"))
+    return index.terms.agg(F.lit(index.stats["n"]).alias("n"), F.lit(index.stats["tokens"]).alias("tokens"), F.count(F.lit(1)).alias("terms"))
+
+
 @query(f"WITH t AS {_DOC_TOKENS} SELECT term, count(DISTINCT doc_id) AS df, round(greatest(0.3, ln(1+((SELECT count(*) FROM documents)-count(DISTINCT doc_id)+0.5)/(count(DISTINCT doc_id)+0.5))),6) AS idf FROM t GROUP BY 1")
 def doc_freq(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    df = S.document_frequency(S.postings(docs))
-    return df.join(F.broadcast(n), F.lit(True)).select("term", "df", F.round(S.idf(F.col("n"), F.col("df")), 6).alias("idf"))  # n is one row
+    index = index_of(spark, folder)
+    return index.terms.select("term", "df", F.round(S.idf(F.lit(float(index.stats["n"])), F.col("df")), 6).alias("idf"))
 
 
 _QUESTION = "Which planning decisions approved the water budget and the sewer assessment?"
@@ -59,7 +77,7 @@ SELECT s.doc_id, round(s.s*CASE WHEN ti.doc_id IS NOT NULL THEN 1.3 ELSE 1 END*C
 FROM s JOIN documents d USING(doc_id) LEFT JOIN ti USING(doc_id) LEFT JOIN tg USING(doc_id) WHERE s.req AND coalesce(d.kind,'') NOT IN ('overview','member','upcoming')""")
 def bm25(spark: SparkSession, folder: str) -> DataFrame:
     terms = S.query_terms(_QUESTION, _PRIOR, _ALIASES, spark)
-    return S.bm25(table(spark, folder, "documents"), terms, now="2026-06-01").select("doc_id", F.round("score", 6).alias("score"))
+    return S.bm25(index_of(spark, folder), terms, now="2026-06-01").select("doc_id", F.round("score", 6).alias("score"))
 
 
 _CLAIM = 'The board told drivers that the "temporary" culvert near the road would cost 41 percent more'
@@ -70,7 +88,7 @@ q AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower('{_CLAIM.re
 l AS (SELECT d.doc_id, count(t.w) AS len FROM documents d LEFT JOIN t USING(doc_id) GROUP BY 1), st AS (SELECT count(*) AS n, avg(len) AS a FROM l), h AS (SELECT doc_id, w FROM t JOIN q USING(w)), df AS (SELECT w, count(*) AS df FROM h GROUP BY 1)
 SELECT doc_id, score FROM (SELECT h.doc_id, round(sum(ln(1+n/(1+df)::DOUBLE))*any_value(a/(a+len))*any_value(CASE WHEN kind='claim' THEN 1.25 ELSE 1 END),6) AS score FROM h JOIN df USING(w) JOIN l USING(doc_id) JOIN documents d USING(doc_id), st WHERE contains(lower(concat_ws(' ', coalesce(d.title,''), coalesce(d.text,''))), 'temporary') GROUP BY 1) ORDER BY score DESC, doc_id LIMIT 8""")
 def claim_search(spark: SparkSession, folder: str) -> DataFrame:
-    return S.claim_search(table(spark, folder, "documents"), _CLAIM)
+    return S.claim_search(index_of(spark, folder), table(spark, folder, "documents"), _CLAIM)
 
 
 def greedy_passages(spark: SparkSession, folder: str) -> DataFrame:
