@@ -80,3 +80,35 @@ def posted_on(text: Column) -> Column:
     pattern = r"(?i)posted\s+on\s+this\s+(\d{1,2})\s*(?:st|nd|rd|th)?\s+day\s+of\s+([A-Za-z]+),?\s+(\d{4})"
     part = lambda k: F.regexp_extract(text, pattern, k)
     return F.try_to_timestamp(F.concat_ws(" ", F.initcap(part(2)), part(1), part(3)), F.lit("MMMM d yyyy")).cast("date")
+
+
+def _shown(iso: Column, form: str) -> Column:
+    """An ISO date in another form; what is no date stays as it is, null becomes empty."""
+    return F.coalesce(F.date_format(F.try_to_timestamp(F.left(iso, F.lit(10)), F.lit("yyyy-MM-dd")), form), iso, F.lit(""))
+
+
+def day_month_year(iso: Column) -> Column:
+    """21 July 2026"""
+    return _shown(iso, "d MMMM yyyy")
+
+
+def month_day_year(iso: Column) -> Column:
+    """Oct 8, 2026"""
+    return _shown(iso, "MMM d, yyyy")
+
+
+def weekday_date(iso: Column) -> Column:
+    """Tuesday, July 21, 2026"""
+    return _shown(iso, "EEEE, MMMM d, yyyy")
+
+
+def instant(x: Column) -> Column:
+    """The instant of an ISO text; without a zone it is UTC, what is none is null."""
+    text = F.regexp_replace(F.trim(x), " ", "T")
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).when(text.rlike("T"), F.concat(text, F.lit("Z"))).otherwise(F.concat(text, F.lit("T00:00:00Z")))
+    return zoned.try_cast("timestamp")
+
+
+def newest(*instants: Column) -> Column:
+    """The latest of several instants, those unknown left out."""
+    return F.array_max(F.array(*instants))

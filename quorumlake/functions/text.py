@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,10 +52,12 @@ def stem(w: Column) -> Column:
 
 
 def index_words(x: Column, places: tuple[str, ...] = ()) -> Column:
-    """Letters and digits of two characters or more, lower case, without stop words and names of places."""
-    stop = F.array(*map(F.lit, [*STOP_WORDS, *places]))
-    words = F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-    return F.filter(words, lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w))
+    """Letters and digits of two characters or more, lower case, without stop words and names of places.
+
+    One pattern that passes over the words left out, as a filter over the array would test each word against each of them.
+    """
+    left_out = "|".join([*STOP_WORDS, *map(re.escape, places)])
+    return F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit(f"(?<![a-z0-9])(?!(?:{left_out})(?![a-z0-9]))[a-z0-9]{{2,}}"), F.lit(0))
 
 
 def tokens(x: Column, places: tuple[str, ...] = ()) -> Column:
@@ -62,11 +65,6 @@ def tokens(x: Column, places: tuple[str, ...] = ()) -> Column:
     return F.transform(index_words(x, places), stem)
 
 
-def stems_to(w: Column, term: str) -> Column:
-    """Whether a word has this stem; words that do not begin like it are told without stemming."""
-    return w.startswith(term[:-1] if len(term) > 1 else term) & (stem(w) == term)
-
-
 def claim_tokens(x: Column) -> Column:
     """Tokens of the claim search, which keep percent signs, dots, dollars and hyphens within a word."""
     noise = F.array(*map(F.lit, NOISE_WORDS))
@@ -74,6 +72,12 @@ def claim_tokens(x: Column) -> Column:
     return F.filter(words, lambda w: (F.length(w) > 1) & ~F.array_contains(noise, w))
 
 
+def claim_word_set(x: Column) -> Column:
+    """The different tokens of the claim search."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit("[a-z0-9][a-z0-9'%.$-]+"), F.lit(0))
+    return F.array_except(words, F.array(*map(F.lit, NOISE_WORDS)))
+
+
 def long_word_set(x: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(x), F.lit("[a-z]{4,}"), F.lit(0)))
 
@@ -262,3 +266,80 @@ def split_kind(title: Column) -> tuple[Column, Column]:
     pattern = r"^([A-Z][A-Z/ ]{2,40}?)\s*[-–]\s*(.*)$"
     kind = F.trim(F.regexp_extract(title, pattern, 1))
     return kind, F.when(kind != "", F.trim(F.regexp_extract(title, pattern, 2))).otherwise(title)
+
+
+# ---- what is printed of a motion ----------------------------------------------------------------------------
+
+def clean_title(x: Column, place: str) -> Column:
+    """A title without the name of the place before what it does; ``place`` is a pattern, as "Fennby(?: City)?,? *Utah"."""
+    head = rf"(?i)^((?:A\s+)?Resolution|(?:An\s+)?Ordinance)\s+of(?:\s+the\s+City\s+of)?\s+{place},?\s*"
+    return clean(F.regexp_replace(x, head, "$1 "))
+
+
+def unknown_outcome(x: Column) -> Column:
+    return (F.trim(F.coalesce(x, F.lit(""))) == "") | F.lower(x).contains("not found")
+
+
+def outcome_word(x: Column) -> Column:
+    """Passed, Failed, else the outcome itself with a capital and without its full stop, Decided if there is none."""
+    raw = F.regexp_replace(F.trim(F.coalesce(x, F.lit(""))), r"\.$", "")
+    kind = outcome_class(x)
+    return F.when(kind == "passed", "Passed").when(kind == "failed", "Failed").when(raw == "", "Decided").otherwise(F.concat(F.upper(F.left(raw, F.lit(1))), F.substr(raw, F.lit(2))))
+
+
+def outcome_pill(x: Column) -> tuple[Column, Column]:
+    """(class, label) of the mark beside a motion."""
+    kind = F.when(unknown_outcome(x), "other").otherwise(outcome_class(x))
+    return kind, F.when(unknown_outcome(x), "Not recorded").when(kind == "other", outcome_word(x)).otherwise(kind)
+
+
+def outcome_sentence(x: Column, yes: Column, no: Column, other: Column) -> Column:
+    """One line on the outcome and the roll call, which says so where the minutes are silent."""
+    s = lambda c: c.cast("string")
+    tally = F.concat(s(yes), F.lit("–"), s(no), F.when(other > 0, F.concat(F.lit("–"), s(other))).otherwise(""))
+    none = yes + no + other == 0
+    parts = F.concat(s(yes), F.lit(" yes, "), s(no), F.lit(" no"), F.when(other > 0, F.concat(F.lit(", "), s(other), F.lit(" other"))).otherwise(""))
+    word = outcome_word(x)
+    return (
+        F.when(unknown_outcome(x) & none, "The minutes don’t record a result or a roll-call vote for this motion.")
+        .when(unknown_outcome(x), F.concat(F.lit("The minutes don’t state the result. The roll call was "), tally, F.lit(".")))
+        .when(none, F.concat(word, F.lit(". No roll-call vote was recorded.")))
+        .when((outcome_class(x) == "passed") & (no == 0) & (other == 0), F.concat(F.lit("Passed unanimously, "), s(yes), F.lit("–0.")))
+        .otherwise(F.concat(word, F.lit(" "), tally, F.lit(" ("), parts, F.lit(").")))
+    )
+
+
+def motion_title(headline: Column, title: Column, most: int = 140, least: int = 60) -> Column:
+    """The headline, else the title, cut at the last blank beyond ``least`` where it is longer than ``most``."""
+    head = F.left(title, F.lit(most))
+    at = F.lit(most) - F.instr(F.reverse(head), " ")
+    cut = F.regexp_replace(F.when((F.instr(head, " ") > 0) & (at > least), F.left(head, at)).otherwise(head), r"[,;:.\s]+$", "")
+    shown = F.when(F.coalesce(title, F.lit("")) == "", "(no title)").when(F.length(title) <= most, title).otherwise(F.concat(cut, F.lit("…")))
+    return F.coalesce(F.nullif(headline, F.lit("")), shown)
+
+
+def without_speaker(x: Column) -> Column:
+    """A sentence without the name and colon of who says it."""
+    return F.trim(F.regexp_replace(x, r"^\s*(?:Speaker\s+[A-Z0-9]+|[A-Z][a-zA-Z.'-]+(?:\s+[A-Z][a-zA-Z.'-]+){0,3})\s*:\s*", ""))
+
+
+# Wordings that tell what a question is after.
+IDENTITY = r"(?i)^\s*who(?:'s|\s+(?:is|was|are|were))\b|\b(?:tell me|what do you know)\s+about\b"
+TEMPORAL = r"(?i)\b(latest|recent|recently|current|currently|now|today|tonight|this (?:year|month|week)|upcoming|next|new|lately|so far|still|last (?:meeting|night|week|month|year))\b"
+DISCUSSION = r"(?i)\b(said|say|says|saying|discuss|discussed|discussion|debate|debated|comment|comments|argue|argued|testimony|complain|concern|concerns|quote|explain|explained|reaction|resident|residents|speak|spoke|spoken|public comment|hearing)\b"
+
+
+def question_cues(x: Column) -> dict[str, Column]:
+    """identity, temporal and discussion: whether a question asks for them."""
+    return {"identity": x.rlike(IDENTITY), "temporal": x.rlike(TEMPORAL), "discussion": x.rlike(DISCUSSION)}
+
+
+def named_body(questions: DataFrame, question: str, bodies: DataFrame, fallback: str) -> DataFrame:
+    """``questions`` with ``body``: the first body, by id, whose label stands in the question, else ``fallback``.
+
+    Bodies (id, label) are a small dimension; Spark broadcasts them below its threshold.
+    """
+    labels = bodies.where("label <> ''").select(F.col("id").alias("__b"), F.lower("label").alias("__l"))
+    low = questions.select(question).distinct().withColumn("__q", F.lower(question))
+    hits = low.join(labels, F.contains("__q", F.col("__l"))).groupBy(question).agg(F.min("__b").alias("body"))
+    return questions.join(hits, question, "left").withColumn("body", F.coalesce("body", F.lit(fallback)))

@@ -99,3 +99,20 @@ def vocabulary(texts: DataFrame, text: str, names: list[str] = (), weight: int =
         more = texts.sparkSession.createDataFrame([(w, weight) for n in names for w in n.lower().split()], "word string, n bigint")
         counts = counts.unionByName(more).groupBy("word").agg(F.sum("n").alias("n"))
     return counts
+
+
+def in_order(df: DataFrame, key: str, order: list[Column], most: int | None = None) -> DataFrame:
+    """``df`` with ``place``, the place of a row within its key; with ``most`` the first of each key only."""
+    placed = df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return placed if most is None else placed.where(F.col("place") <= most)
+
+
+def latest(df: DataFrame, date: str, id_: str, most: int) -> DataFrame:
+    """The ``most`` newest rows, of one day the larger id first, rows without a date last."""
+    return df.orderBy(F.desc(F.coalesce(date, F.lit(""))), F.desc(id_)).limit(most)
+
+
+def grouped(parents: DataFrame, children: DataFrame, foreign: str, order: list[str], fields: list[str]) -> DataFrame:
+    """``parents`` with ``items``: their children (order, fields) in falling order; parents without any are left out."""
+    items = children.groupBy(F.col(foreign).alias("id")).agg(F.sort_array(F.collect_list(F.struct(*order, *fields)), asc=False).alias("items"))
+    return parents.join(items, "id")

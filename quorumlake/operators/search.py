@@ -26,12 +26,6 @@ def idf(n: Column, df: Column) -> Column:
     return F.greatest(F.lit(0.3), F.log(1 + (n - df + 0.5) / (df + 0.5)))
 
 
-def _stemmed(words: DataFrame) -> DataFrame:
-    """``words`` with ``term``, the stem of ``w``: stems are taken of the distinct words and joined."""
-    stems = words.select("w").distinct().select("w", T.stem(F.col("w")).alias("term"))
-    return words.join(stems, "w")
-
-
 def _text(title: str = "title", text: str = "text") -> Column:
     return F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
 
@@ -40,31 +34,41 @@ def postings(docs: DataFrame, places: tuple[str, ...] = ()) -> DataFrame:
     """(term, doc_id, tf, dl, in_title, in_tags, kind, body, date): one row for each stem that a document holds.
 
     docs: (doc_id, title, text, tags, kind, body, date), doc_id unique.  tf counts title and text, dl all their index words;
-    a stem of tags only has a tf of 0.  in_title looks at the first 200 characters of the title.
+    a stem of tags only has a tf of 0.  in_title looks at the first 200 characters of the title.  Words are counted first,
+    and stems taken of a document's different words.
     """
     place = lambda n, x: F.transform(T.index_words(x, places), lambda w: F.struct(F.lit(n).alias("at"), w.alias("w")))
-    every = F.concat(place(0, _text()), place(1, F.left(F.coalesce("title", F.lit("")), F.lit(200))), place(2, F.array_join(F.coalesce("tags", F.array().cast("array<string>")), " ")))
-    meta = ("dl", "kind", "body", "date")
-    rows = docs.withColumn("__x", every).select("doc_id", "kind", "body", "date", F.size(F.filter("__x", lambda x: x["at"] == 0)).alias("dl"), F.explode("__x").alias("x"))
-    sums = (F.sum("tf").alias("tf"), F.bool_or("in_title").alias("in_title"), F.bool_or("in_tags").alias("in_tags"), *(F.any_value(c).alias(c) for c in meta))
-    raw = rows.select("doc_id", *meta, F.col("x.w").alias("w"), (F.col("x.at") == 0).cast("int").alias("tf"), (F.col("x.at") == 1).alias("in_title"), (F.col("x.at") == 2).alias("in_tags"))
-    return _stemmed(raw.groupBy("doc_id", "w").agg(*sums)).groupBy("term", "doc_id").agg(*sums)
+    own = T.index_words(_text(), places)
+    rest = F.concat(place(1, F.left(F.coalesce("title", F.lit("")), F.lit(200))), place(2, F.array_join(F.coalesce("tags", F.array().cast("array<string>")), " ")))
+    meta = ("doc_id", "dl", "kind", "body", "date")
+    rows = docs.select("doc_id", "kind", "body", "date", own.alias("__own"), rest.alias("__rest")).withColumn("dl", F.size("__own"))
+    rows = rows.select(*meta, F.explode(F.concat(F.transform("__own", lambda w: F.struct(F.lit(0).alias("at"), w.alias("w"))), "__rest")).alias("x"))
+    flags = rows.select(*meta, F.col("x.w").alias("w"), *((F.col("x.at") == n).cast("int").alias(c) for n, c in enumerate(("tf", "in_title", "in_tags"))))
+    # what goes with a document is a key of the sums, so they are hashed and not sorted
+    sums = (F.sum("tf").cast("int").alias("tf"), F.max("in_title").alias("in_title"), F.max("in_tags").alias("in_tags"))
+    words = flags.groupBy(*meta, "w").agg(*sums)
+    stems = words.withColumn("term", T.stem(F.col("w"))).groupBy(*meta, "term").agg(*sums)
+    return stems.withColumns({c: F.col(c) > 0 for c in ("in_title", "in_tags")})
 
 
 def claim_postings(docs: DataFrame) -> DataFrame:
     """(term, doc_id, len, kind): one row for each word of the claim search that a document holds; len is the number of them."""
-    sets = docs.select("doc_id", "kind", F.array_distinct(T.claim_tokens(_text())).alias("s"))
+    sets = docs.select("doc_id", "kind", T.claim_word_set(_text()).alias("s"))
     return sets.select("doc_id", "kind", F.size("s").alias("len"), F.explode("s").alias("term"))
 
 
-def write_index(docs: DataFrame, path: str, places: tuple[str, ...] = (), files: int | None = None) -> Index:
-    """Writes the index of a corpus to a shared folder and opens it.  Hot terms are spread over files, as the ranges are of
-    (term, doc_id)."""
-    n = files or max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    for name, rows in (("postings", postings(docs, places)), ("words", claim_postings(docs))):
-        rows.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode("overwrite").option("parquet.block.size", 8 << 20).option("parquet.page.row.count.limit", 4_000).parquet(f"{path}/{name}")
+def write_index(docs: DataFrame, path: str, places: tuple[str, ...] = (), parts: int | None = None) -> Index:
+    """Writes the index of a corpus to a shared folder and opens it.
+
+    The documents are dealt out to parts once; a part holds all postings of its documents, sorted by term.  So no term is
+    hot, counting and stemming need no further shuffle, and a question reads the pages of its terms in every part.
+    """
+    n = parts or max(2 * docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    needed = docs.select("doc_id", "title", "text", "tags", "kind", "body", "date")
+    for name, rows in (("postings", postings(needed.repartition(n, "doc_id"), places)), ("words", claim_postings(needed))):
+        rows.sortWithinPartitions("term", "doc_id").write.mode("overwrite").option("parquet.block.size", 8 << 20).option("parquet.page.row.count.limit", 4_000).parquet(f"{path}/{name}")
     index = Index(docs.sparkSession, path)
-    index.postings.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
+    index.postings.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
     # documents without a word count in the means, so sums are taken over postings and divided by all documents
     number = docs.agg(F.count("doc_id").alias("n"))
     lengths = index.postings.agg(F.sum("tf").alias("tokens")).crossJoin(index.words.agg(F.count(F.lit(1)).alias("set_words")))  # one row each
@@ -83,50 +87,53 @@ class Index:
     def stats(self) -> Row:
         return self.spark.read.parquet(f"{self.path}/stats").first()
 
-    @property
+    @cached_property
     def postings(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/postings")
 
-    @property
+    @cached_property
     def words(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/words")
 
-    @property
+    @cached_property
     def terms(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/terms")
 
 
-def query_terms(question: str, prior: list[str], aliases: dict[str, list[str]], spark: SparkSession) -> DataFrame:
-    """(term, weight, required): the current question's terms with their aliases weigh 1, those of prior ones 0.35."""
-    asked = spark.createDataFrame([(0, question)] + [(1, p) for p in prior], "turn int, q string")
-    words = asked.select("turn", F.explode(T.tokens(F.col("q"))).alias("term"))
-    if aliases:
-        other = spark.createDataFrame([(a, b) for a, bs in aliases.items() for b in bs], "term string, alias string")
-        words = words.unionByName(words.join(other, "term").select("turn", T.stem(F.col("alias")).alias("term")))
-    weight = F.when(F.min("turn") == 0, 1.0).otherwise(0.35)
-    return words.groupBy("term").agg(weight.alias("weight"), (F.min("turn") == 0).alias("required"))
+def query_terms(question: str, prior: list[str], aliases: dict[str, list[str]], spark: SparkSession) -> list[tuple[str, float, bool]]:
+    """(term, weight, required): the current question's terms with their aliases weigh 1, those of prior ones 0.35.
 
-
-def bm25(index: Index, terms: DataFrame, body: str | None = None, now: str | None = None, recency_weight: float = 0.3, recency_days: float = 1800.0) -> DataFrame:
+    All of it folds into constants, so no job is run.
+    """
+    known = sorted(aliases)
+    turns = F.array(*(T.tokens(F.lit(q)) for q in (question, *prior)))
+    others = F.array(*(F.array(*(T.stem(F.lit(w)) for w in aliases[k])) for k in known)) if known else F.array().cast("array<array<string>>")
+    row = spark.range(1).select(turns.alias("turns"), others.alias("others")).first()
+    more, weights = dict(zip(known, row["others"])), {}
+    for n, words in enumerate(row["turns"]):
+        for w in [x for word in words for x in (word, *more.get(word, ()))]:
+            weights.setdefault(w, 1.0 if n == 0 else 0.35)
+    return [(w, x, x == 1.0) for w, x in weights.items()]
+
+
+def bm25(index: Index, terms: list[tuple[str, float, bool]], body: str | None = None, now: str | None = None, recency_weight: float = 0.3, recency_days: float = 1800.0) -> DataFrame:
     """(doc_id, score) of documents that hold a required term, by BM25 with boosts for title, tags, kind and date.
 
     Reads the postings of the question's terms only; statistics are over all documents of the index.
     """
-    asked = terms.collect()  # the words of a question
-    names = [r["term"] for r in asked]
+    names = [term for term, _, _ in terms]
     held = index.postings.where(F.col("term").isin(names) & ~F.coalesce("kind", F.lit("")).isin(*PINNED))
     if body:
         held = held.where(F.coalesce("body", F.lit("")).isin(body, ""))
-    df = {r["term"]: r["df"] for r in index.terms.where(F.col("term").isin(names)).collect()}
+    df = {r["term"]: r["df"] for r in index.terms.where(F.col("term").isin(names)).collect()}  # the words of a question
     n, average = float(index.stats["n"]), (index.stats["tokens"] or 0) / max(index.stats["n"], 1)
-    of = lambda value: F.coalesce(*(F.when(F.col("term") == r["term"], value(r)) for r in asked), F.lit(None))
-    weight = of(lambda r: idf(F.lit(n), F.lit(float(df.get(r["term"], 0)))) * r["weight"])
+    weight = F.coalesce(*(F.when(F.col("term") == t, idf(F.lit(n), F.lit(float(df.get(t, 0)))) * w) for t, w, _ in terms), F.lit(None))
     tf = F.col("tf").cast("double")
     part = F.when(tf > 0, weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.lit(average)))).otherwise(0.0)
-    required = [r["term"] for r in asked if r["required"]]
-    scored = held.groupBy("doc_id").agg(
-        F.sum(part).alias("score"), F.bool_or("in_title").alias("in_title"), F.bool_or("in_tags").alias("in_tags"), F.bool_or(F.col("term").isin(required or names) & (F.col("tf") > 0)).alias("asked"),
-        F.any_value("kind").alias("kind"), F.any_value("date").alias("date"),
+    required = [t for t, _, needed in terms if needed]
+    meta = (F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("date", F.lit("")).alias("date"))  # keys, as they go with the document
+    scored = held.select("doc_id", *meta, part.alias("part"), "in_title", "in_tags", (F.col("term").isin(required or names) & (F.col("tf") > 0)).alias("asked")).groupBy("doc_id", "kind", "date").agg(
+        F.sum("part").alias("score"), F.bool_or("in_title").alias("in_title"), F.bool_or("in_tags").alias("in_tags"), F.bool_or("asked").alias("asked")
     )
     kind = F.coalesce(*(F.when(F.col("kind") == k, w) for k, w in KIND_WEIGHT.items()), F.lit(1.0))
     score = F.col("score") * F.when(F.col("in_title"), TITLE_BOOST).otherwise(1.0) * F.when(F.col("in_tags"), TAG_BOOST).otherwise(1.0) * kind

@@ -46,8 +46,8 @@ def index_of(spark: SparkSession, folder: str) -> S.Index:
 
 @query(f"WITH t AS {_DOC_TOKENS} SELECT (SELECT count(*) FROM documents) AS n, count(*)::BIGINT AS tokens, count(DISTINCT term) AS terms FROM t")
 def retrieval_index(spark: SparkSession, folder: str) -> DataFrame:
-    """Writes the index anew and gives its sizes."""
-    index = S.write_index(table(spark, folder, "documents"), shared_folder(spark, f"index/{uuid.uuid4()}"))
+    """The index of the corpus, written at the first use, and its sizes."""
+    index = index_of(spark, folder)
     return index.terms.agg(F.lit(index.stats["n"]).alias("n"), F.lit(index.stats["tokens"]).alias("tokens"), F.count(F.lit(1)).alias("terms"))
 
 
