@@ -76,3 +76,11 @@ def holding(rows: DataFrame, terms: DataFrame, date: str) -> DataFrame:
     return rows.withColumn("__year", F.year(F.to_date(date))).join(spread, "__year").where(
         (F.col("start").isNull() | (F.col(date) >= F.col("start"))) & (F.col("end").isNull() | (F.col(date) <= F.col("end")))
     ).drop("__year")
+
+
+def shown_names(rows: DataFrame, people: DataFrame, id_: str, name: str) -> DataFrame:
+    """``rows`` with ``shown``: the name of the id, else the id, else Unknown; a name that two ids bear has the id beside it."""
+    one = people.groupBy(id_).agg(F.min(name).alias("__n"))
+    shared = one.groupBy("__n").agg(F.count(F.lit(1)).alias("__k"))
+    named = one.join(shared, "__n").select(id_, F.when(F.col("__k") > 1, F.concat("__n", F.lit(" ("), F.col(id_).cast("string"), F.lit(")"))).otherwise(F.col("__n")).alias("__s"))
+    return rows.join(named, id_, "left").withColumn("shown", F.coalesce("__s", F.col(id_).cast("string"), F.lit("Unknown"))).drop("__s")

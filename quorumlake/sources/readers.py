@@ -123,6 +123,13 @@ def settings(text: str) -> dict[str, str]:
     return out
 
 
+def landed(spark: SparkSession, path: str, schema: str, key: str, order: str) -> DataFrame:
+    """Replies of a service that were landed as JSON files, each key in its newest form; so nothing is asked for twice."""
+    rows = spark.read.schema(schema).json(path)
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__r")).select(key, "__r.*")
+
+
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Documents of one JSON file each, by a declared schema; a file that is none gives a row of nulls with ``bad``."""
     return spark.read.schema(f"{schema}, bad string").option("columnNameOfCorruptRecord", "bad").json(path, multiLine=True)

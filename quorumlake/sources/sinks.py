@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import zipfile
+from io import BytesIO
+from xml.sax.saxutils import escape
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumlake.io import bounded_rows
 from quorumlake.operators import relations as R
 
 
@@ -58,3 +64,56 @@ def spliced(source: Column, block: Column, begin: str, end: str) -> Column:
     at, after = F.instr(source, begin), F.locate(end, source)
     size = F.length(source)
     return F.when((at > 0) & (after > at), F.concat(F.left(source, at + len(begin) - 1), block, F.substring(source, after, size))).otherwise(source)
+
+
+def server_event(event: Column, data: Column) -> Column:
+    """One event of a text/event-stream: its name, and a line for each line of data."""
+    lines = F.array_join(F.transform(F.split(data, "\n"), lambda x: F.concat(F.lit("data: "), x)), "\n")
+    return F.concat(F.lit("event: "), event, F.lit("\n"), lines, F.lit("\n\n"))
+
+
+def pages_with_records(pages: DataFrame, records: DataFrame, body: str = "body") -> DataFrame:
+    """Pages scoped to a body that has records; pages of no body (null) stay."""
+    held = records.select(body).distinct()
+    return pages.where(F.col(body).isNull()).unionByName(pages.join(held, body, "left_semi").select(*pages.columns))
+
+
+def loaded(own: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
+    """Rows of each key from ``own``, those of keys that it lacks from ``fallback``."""
+    return R.override(fallback.select(*own.columns), own, [key])
+
+
+_TYPES = "http://schemas.openxmlformats.org/package/2006/content-types"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+
+
+def workbook(sheets: dict[str, DataFrame], most_rows: int = 100_000) -> bytes:
+    """An .xlsx file with one sheet a table, the columns' names in its first row.
+
+    A workbook is made on one machine, so a table of more than ``most_rows`` rows is an error; write such as Parquet.
+    Numbers stay numbers, nulls are empty cells, all else is text.
+    """
+
+    def cell(value) -> str:
+        if value is None:
+            return "<c/>"
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            return f"<c><v>{value}</v></c>"
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(value)))}</t></is></c>'
+
+    out = BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        parts = [(n, name[:31], df) for n, (name, df) in enumerate(sheets.items(), 1)]
+        kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{n}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for n, _, _ in parts)
+        z.writestr("[Content_Types].xml", f'{_HEAD}<Types xmlns="{_TYPES}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{kinds}</Types>')
+        z.writestr("_rels/.rels", f'{_HEAD}<Relationships xmlns="{_PACKAGE}"><Relationship Id="rId1" Type="{_OFFICE}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'{_HEAD}<workbook xmlns="{_MAIN}" xmlns:r="{_OFFICE}"><sheets>{"".join(f"""<sheet name="{escape(name)}" sheetId="{n}" r:id="rId{n}"/>""" for n, name, _ in parts)}</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'{_HEAD}<Relationships xmlns="{_PACKAGE}">{"".join(f"""<Relationship Id="rId{n}" Type="{_OFFICE}/worksheet" Target="worksheets/sheet{n}.xml"/>""" for n, _, _ in parts)}</Relationships>')
+        for n, name, df in parts:
+            rows = [df.columns, *(tuple(r) for r in bounded_rows(df, most_rows, f"the sheet {name}"))]
+            body = "".join(f"<row>{''.join(map(cell, r))}</row>" for r in rows)
+            z.writestr(f"xl/worksheets/sheet{n}.xml", f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
