@@ -183,3 +183,14 @@ def in_printed_order(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """``df`` with ``place``: the place of the name in the printed order, names not in it after all others."""
     place = F.array_position(F.array(*map(F.lit, order)), F.col(name))
     return df.withColumn("place", F.when(place > 0, place).otherwise(len(order) + 1).cast("int"))
+
+
+def deltas(df: DataFrame, name: str, before: str, after: str) -> DataFrame:
+    """(name, before, after, change, place) of lines that changed, by the size of the change; the lines of one book."""
+    rows = df.where(F.col(before) != F.col(after)).withColumn("change", F.round(F.col(after) - F.col(before), 2))
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.desc(F.abs("change")), name)))
+
+
+def largest(df: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows in the order, with ``place``."""
+    return df.orderBy(*order).limit(most).withColumn("place", F.row_number().over(Window.orderBy(*order)))  # ``most`` rows

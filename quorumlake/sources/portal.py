@@ -3,20 +3,36 @@
 Register with ``spark.dataSource.register(PortalSource)`` and read with ``spark.read.format("portal")
 .option("path", folder).load()``.  The folder holds <category>/<skip>.json, each a list of events, as the portal's
 pages would be; a category is one partition and its pages are read until one is empty or missing, moving on by the
-rows received, as the portal gives fewer a page than asked for.  A filter on the date reaches the reader.
+rows received, as the portal gives fewer a page than asked for.  More events than the option ``guard`` are an error.
+A filter on the date reaches the reader.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition
 
 SCHEMA = "id bigint, category string, date string, name string, has_media boolean, published boolean"
 
 
+def _files(folder: str):
+    """The file system of a folder, which may be an address such as hdfs:// or s3://, and its path there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+
+
+def _page(where, path: str) -> list[dict]:
+    from pyarrow import fs
+
+    if where.get_file_info(path).type != fs.FileType.File:
+        return []
+    with where.open_input_stream(path) as file:
+        return json.loads(file.read())
+
+
 class Category(InputPartition):
     def __init__(self, name: str):
         self.name = name
@@ -37,16 +53,17 @@ class PortalReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Category]:
-        names = sorted(p.name for p in Path(self.folder).iterdir() if p.is_dir())
+        from pyarrow import fs
+
+        where, root = _files(self.folder)
+        names = sorted(f.base_name for f in where.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.Directory)
         return [Category(n) for n in names if self.only in (None, n)]
 
     def read(self, partition: Category) -> Iterator[tuple]:
-        skip = 0
-        while skip < self.guard:
-            page = Path(self.folder, partition.name, f"{skip}.json")
-            rows = json.loads(page.read_text()) if page.exists() else []
-            if not rows:
-                return
+        skip, (where, root) = 0, _files(self.folder)
+        while rows := _page(where, f"{root}/{partition.name}/{skip}.json"):
+            if skip >= self.guard:
+                raise ValueError(f"category {partition.name} goes on beyond the guard of {self.guard} events; raise the option guard")
             for r in rows:
                 date = str(r.get("eventDate") or "")[:10]
                 if date >= self.since:

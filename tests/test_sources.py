@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quorumlake.sources import readers, sinks
@@ -79,3 +81,47 @@ def test_sinks(spark, tmp_path):
     motions = spark.createDataFrame([("b", 1, 2, 1, "t", "m", "o", [("p", "Yes")])], "body string, meeting_id int, id int, page int, item_title string, motion string, outcome string, votes array<struct<member_id:string,vote:string>>")
     sinks.by_meeting(motions, str(tmp_path / "meetings"))
     assert spark.read.json(str(tmp_path / "meetings")).first()["meeting_id"] == 1
+
+
+def test_workbook(spark, tmp_path):
+    import zipfile
+    from io import BytesIO
+    from xml.etree import ElementTree
+
+    df = spark.createDataFrame([(1, "a<b", None), (2, None, 2.5)], "n int, t string, x double")
+    with zipfile.ZipFile(BytesIO(sinks.workbook({"one & two": df, "empty": df.limit(0)}))) as z:
+        ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+        assert [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{{{ns['m']}}}sheet")] == ["one & two", "empty"]
+        rows = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml")).findall(".//m:row", ns)
+        assert [["".join(c.itertext()) for c in r] for r in rows] == [["n", "t", "x"], ["1", "a<b", ""], ["2", "", "2.5"]]
+        assert len(ElementTree.fromstring(z.read("xl/worksheets/sheet2.xml")).findall(".//m:row", ns)) == 1
+    with pytest.raises(ValueError, match="more than 1"):
+        sinks.workbook({"x": df}, most_rows=1)
+
+
+def test_events_pages_and_fallbacks(spark):
+    df = spark.createDataFrame([("e", "a\nb")], "e string, d string")
+    assert df.select(sinks.server_event(F.col("e"), F.col("d"))).first()[0] == "event: e\ndata: a\ndata: b\n\n"
+    pages = spark.createDataFrame([("x", "p"), ("y", "q"), (None, "about")], "body string, page string")
+    assert {r["page"] for r in sinks.pages_with_records(pages, spark.createDataFrame([("x",), ("x",)], "body string")).collect()} == {"p", "about"}
+    own, other = spark.createDataFrame([("x", 1)], "k string, v int"), spark.createDataFrame([("x", 2), ("y", 3)], "k string, v int")
+    assert {tuple(r) for r in sinks.loaded(own, other, "k").collect()} == {("x", 1), ("y", 3)}
+
+
+def test_landed_and_refused(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"k": 1, "at": "1", "v": "old"}\n{"k": 1, "at": "2", "v": "new"}\n{"k": 2, "at": "1", "v": "x"}')
+    assert {tuple(r) for r in readers.landed(spark, str(tmp_path), "k int, at string, v string", "k", "at").select("k", "v").collect()} == {(1, "new"), (2, "x")}
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "x.pdf").write_text("x")
+    with pytest.raises(Exception, match="no text reader"):
+        readers.minutes_lines(spark, str(tmp_path / "docs")).collect()
+
+
+def test_portal_guard(spark, tmp_path):
+    (tmp_path / "council").mkdir()
+    (tmp_path / "council" / "0.json").write_text(json.dumps([{"id": i, "eventDate": "2024-01-01"} for i in range(3)]))
+    (tmp_path / "council" / "3.json").write_text(json.dumps([{"id": 9, "eventDate": "2024-01-01"}]))
+    spark.dataSource.register(PortalSource)
+    with pytest.raises(Exception, match="guard"):
+        spark.read.format("portal").option("path", str(tmp_path)).option("guard", "3").load().collect()
+    assert spark.read.format("portal").option("path", str(tmp_path)).load().count() == 4
