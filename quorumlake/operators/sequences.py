@@ -1,4 +1,8 @@
-"""Ordered operators: runs, fills, as-of joins, gaps, passages and windows over sentences."""
+"""Ordered operators: runs, fills, as-of joins, gaps, passages and windows over sentences.
+
+Those that take ``chunk`` work in chunks of a key (see ``ordered``), so that a hot key is spread over tasks; without it a key
+is sorted in one task.
+"""
 
 from __future__ import annotations
 
@@ -6,53 +10,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.functions import text as T
+from quorumlake.operators import ordered as O
+
+def _all(chunk: Column | None) -> Column:
+    return F.lit(0) if chunk is None else chunk
 
 
-def drop_repeats(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+def drop_repeats(df: DataFrame, key: str, order: list[str], value: str, chunk: Column | None = None) -> DataFrame:
     """Rows without those whose value equals that of the row before; blank values are never dropped."""
-    w = Window.partitionBy(key).orderBy(*order)
-    before = F.lag(value).over(w)
-    return df.withColumn("__b", before).where(F.col("__b").isNull() | (F.trim(F.col(value)) == "") | (F.col("__b") != F.col(value))).drop("__b")
+    placed = O.with_previous(df, key, _all(chunk), order, {"__b": value})
+    return placed.where(F.col("__b").isNull() | F.col(value).isNull() | (F.trim(F.col(value)) == "") | (F.col("__b") != F.col(value))).drop("__b")
 
 
-def islands(df: DataFrame, key: str, order: list[str], value: str, name: str = "island") -> DataFrame:
+def islands(df: DataFrame, key: str, order: list[str], value: str, name: str = "island", chunk: Column | None = None) -> DataFrame:
     """Numbers the runs of equal values; a null value goes on with the run before it."""
-    w = Window.partitionBy(key).orderBy(*order)
-    filled = df.withColumn("__v", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    change = F.when(F.lag("__v").over(w).eqNullSafe(F.col("__v")) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return filled.withColumn("__c", change).withColumn(name, F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__c").withColumn(value, F.col("__v")).drop("__v")
+    c = _all(chunk)
+    filled = O.carried(df, key, c, order, {"__f": value}).withColumn(value, F.col("__f")).drop("__f")
+    return O.run_numbers(filled, key, c, order, value, name)
 
 
-def forward_fill(df: DataFrame, key: str, order: list[str], value: str, name: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
+def forward_fill(df: DataFrame, key: str, order: list[str], value: str, name: str, chunk: Column | None = None) -> DataFrame:
+    return O.carried(df, key, _all(chunk), order, {name: value})
 
 
-def asof(left: DataFrame, right: DataFrame, key: str, time: str, value: str, name: str) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, key: str, time: str, value: str, name: str, chunk: Column | None = None) -> DataFrame:
     """Each left row with the value of the latest right row of its key at or before it.
 
-    A union and a running last value: one shuffle and one sort, no pairs.
+    A union and a running last value: no pairs.
     """
     both = left.withColumn("__side", F.lit(1)).withColumn("__v", F.lit(None).cast(right.schema[value].dataType)).unionByName(
         right.select(key, time, F.struct(F.col(value)).alias("__x")).select(key, time, F.lit(0).alias("__side"), F.col("__x").getField(value).alias("__v")), allowMissingColumns=True
     )
-    w = Window.partitionBy(key).orderBy(time, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(name, F.last("__v", ignorenulls=True).over(w)).where("__side = 1").drop("__side", "__v")
+    return O.carried(both, key, _all(chunk), [time, "__side"], {name: "__v"}).where("__side = 1").drop("__side", "__v")
 
 
-def sessions(df: DataFrame, key: str, time: str, gap_seconds: int) -> DataFrame:
-    """Adds ``session``: a new one after a pause of more than the gap."""
-    w = Window.partitionBy(key).orderBy(time)
-    pause = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
-    return df.withColumn("__n", F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)).withColumn("session", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__n")
+def sessions(df: DataFrame, key: str, time: str, gap_seconds: int, chunk: Column | None = None, tie: str | None = None) -> DataFrame:
+    """Adds ``session``: a new one after a pause of more than the gap.  Rows of one time are told apart by ``tie``."""
+    c, order = _all(chunk), [time, *([tie] if tie else [])]
+    placed = O.with_previous(df, key, c, order, {"__p": time})
+    pause = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col("__p").cast("timestamp"))
+    flagged = placed.withColumn("__n", F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0))
+    return O.running_sum(flagged, key, c, order, "__n", "session").drop("__n", "__p")
 
 
-def crossings(df: DataFrame, order: str, value: str) -> DataFrame:
-    """(from, to, fraction, into_deficit) where the value changes its sign between neighbours."""
-    w = Window.orderBy(order)
-    a, b = F.col(value), F.lead(value).over(w)
-    rows = df.select(F.col(order).alias("from"), F.lead(order).over(w).alias("to"), a.alias("a"), b.alias("b")).where((F.col("a") != 0) & (F.col("b") != 0) & (F.signum("a") != F.signum("b")))
-    return rows.select("from", "to", (F.col("a") / (F.col("a") - F.col("b"))).alias("fraction"), (F.col("b") < 0).alias("into_deficit"))
+def crossings(df: DataFrame, order: str, value: str, key: str | None = None, chunk: Column | None = None) -> DataFrame:
+    """(from, to, fraction, into_deficit[, key]) where the value changes its sign between neighbours."""
+    rows = df.withColumn("__key", F.col(key) if key else F.lit(0))
+    pairs = O.with_previous(rows, "__key", _all(chunk), [order], {"from": order, "__a": value})
+    a, b = F.col("__a"), F.col(value)
+    found = pairs.where((a != 0) & (b != 0) & (F.signum(a) != F.signum(b)))
+    return found.select("from", F.col(order).alias("to"), (a / (a - b)).alias("fraction"), (b < 0).alias("into_deficit"), *([key] if key else []))
 
 
 def passages(texts: DataFrame, key: str, text: str, size: int = 230, overlap: int = 40, least: int = 60) -> DataFrame:
@@ -72,24 +79,45 @@ def sentence_windows(texts: DataFrame, key: str, text: str, marker: str) -> Data
     return found.select(key, "sentence_no", F.array_join(F.slice("__s", first, F.col("sentence_no") + 4 - first), " ").alias("passage"), F.array_join(F.slice("__s", F.col("sentence_no") + 1, F.lit(2)), " ").alias("near"))
 
 
-def running_total(df: DataFrame, order: str, value: str, name: str, key: str | None = None) -> DataFrame:
-    w = (Window.partitionBy(key) if key else Window.partitionBy()).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(value).over(w))
+def running_total(df: DataFrame, order: str, value: str, name: str, key: str | None = None, chunk: Column | None = None) -> DataFrame:
+    rows = df.withColumn("__key", F.col(key) if key else F.lit(0))
+    return O.running_sum(rows, "__key", _all(chunk), [order], value, name).drop("__key")
 
 
 def rate_limited(df: DataFrame, key: str, time: str, seconds: int, most: int) -> DataFrame:
-    """Adds ``in_window`` (rows of the key in the last ``seconds``, itself included) and ``limited``."""
+    """Adds ``in_window`` (rows of the key in the last ``seconds``, itself included) and ``limited``.
+
+    A key is cut into stretches of 16 windows; the rows of the last window before a stretch are counted with it and left out
+    again, so a hot key is spread and each row is copied once at most.
+    """
+    micros = seconds * 1_000_000
     at = F.unix_micros(F.col(time).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(at).rangeBetween(-seconds * 1_000_000, 0)
-    return df.withColumn("in_window", F.count(F.lit(1)).over(w)).withColumn("limited", F.col("in_window") > most)
+    rows = df.withColumn("__at", at).withColumn("__own", F.floor(F.col("__at") / (16 * micros)))
+    places = F.when(F.col("__at") >= (F.col("__own") + 1) * 16 * micros - micros, F.array(F.col("__own"), F.col("__own") + 1)).otherwise(F.array("__own"))
+    spread = rows.withColumn("__stretch", F.explode(places))
+    w = Window.partitionBy(key, "__stretch").orderBy("__at").rangeBetween(-micros, 0)
+    counted = spread.withColumn("in_window", F.count(F.lit(1)).over(w)).where(F.col("__stretch").eqNullSafe(F.col("__own")))
+    return counted.withColumn("limited", F.col("in_window") > most).drop("__at", "__own", "__stretch")
 
 
 def top_with_other(df: DataFrame, key: str, label: str, value: str, most: int) -> DataFrame:
-    """(key, label, value, n): of each key the largest values by size, the rest as one row "Other"."""
+    """(key, label, value, rank, n): of each key the largest values by size, the rest as one row "Other".
+
+    Ranks are taken of the first ``most`` only, which Spark cuts to before it shuffles; the rest of a key is what lies beyond
+    its last ranked row, and is summed in parts.  Rows like the last ranked one in size and label count with the rest.
+    """
+    size = (-F.abs(F.col(value))).alias("s")
     w = Window.partitionBy(key).orderBy(F.desc(F.abs(F.col(value))), label)
-    ranked = df.select(key, label, value, F.row_number().over(w).alias("__r"))
-    name = F.when(F.col("__r") <= most, F.col(label)).otherwise(F.lit("Other"))
-    return ranked.groupBy(key, name.alias(label), F.least("__r", F.lit(most + 1)).alias("rank")).agg(F.sum(value).alias(value), F.count(F.lit(1)).alias("n"))
+    ranked = df.select(key, label, value, F.row_number().over(w).alias("rank")).where(F.col("rank") <= most)
+    ends = ranked.groupBy(F.col(key).alias("__k")).agg(F.max(F.struct(size, F.col(label).alias("l"))).alias("__end"), F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__n"))
+    whole = df.groupBy(key).agg(F.count(F.lit(1)).alias("__all")).join(ends, F.col(key).eqNullSafe(F.col("__k"))).where("__all > __n").select("__k", "__end", "__n")
+    beyond = df.select(key, label, value, F.struct(size, F.col(label).alias("l")).alias("__at")).join(whole, F.col(key).eqNullSafe(F.col("__k")))
+    level = beyond.groupBy(key, "__n").agg(
+        F.sum(F.when(F.col("__at") > F.col("__end"), F.col(value))).alias("more"), F.count_if(F.col("__at") > F.col("__end")).alias("n"), F.count_if(F.col("__at") <= F.col("__end")).alias("upto"), F.max(F.when(F.col("__at") == F.col("__end"), F.col(value))).alias("same")
+    )
+    twins = F.col("upto") - F.col("__n")
+    rest = level.select(key, F.lit("Other").alias(label), (F.coalesce("more", F.lit(0.0)) + F.when(twins > 0, twins * F.col("same")).otherwise(0.0)).alias(value), F.lit(most + 1).alias("rank"), (F.col("n") + twins).alias("n"))
+    return ranked.select(key, label, value, "rank", F.lit(1).cast("bigint").alias("n")).unionByName(rest)
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[Column], most: int = 1) -> DataFrame:
@@ -103,11 +131,14 @@ def longest_per_bucket(turns: DataFrame, key: str, buckets: int = 14, usable: fl
     turns: (key, start, end).  Of equally long ones the earliest counts.  The ends are trimmed and the length capped.
     """
     rows = turns.withColumn("duration", F.col("end") - F.col("start")).where(F.col("duration") >= usable)
-    every = Window.partitionBy(key)
-    span = F.greatest(F.max("end").over(every) - F.min("start").over(every), F.lit(1.0))
-    bucket = F.least(F.lit(buckets - 1), F.floor((F.col("start") - F.min("start").over(every)) / span * buckets))
-    placed = rows.withColumn("__b", bucket)
-    ranked = placed.withColumn("__r", F.row_number().over(Window.partitionBy(key, "__b").orderBy(F.desc("duration"), "start")))
-    chosen = ranked.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy((F.col("__r") > 1).cast("int"), F.desc("duration"), "start"))).where(F.col("__k") <= buckets)
+    spans = rows.groupBy(F.col(key).alias("__k")).agg(F.min("start").alias("__s"), F.greatest(F.max("end") - F.min("start"), F.lit(1.0)).alias("__len"))
+    bucket = F.least(F.lit(buckets - 1), F.floor((F.col("start") - F.col("__s")) / F.col("__len") * buckets))
+    placed = rows.join(spans, rows[key].eqNullSafe(spans["__k"])).withColumn("__b", bucket).select(key, "start", "duration", "__b")
+    longest_first = [F.desc("duration"), F.col("start")]
+    best = first_per_key(placed, [key, "__b"], longest_first).withColumn("__top", F.lit(1))
+    # of the longest 2k of a key no more than k are the first of their stretch, so k of the rest are among them
+    rest = first_per_key(placed, [key], longest_first, 2 * buckets).withColumn("__top", F.lit(0))
+    pool = best.unionByName(rest).groupBy(key, "start", "duration").agg(F.max("__top").alias("__top"))
+    chosen = first_per_key(pool, [key], [F.desc("__top"), *longest_first], buckets)
     cut = chosen.select(key, F.round(F.col("start") + trim, 3).alias("start"), F.round(F.least(F.col("duration") - 2 * trim, F.lit(longest)), 3).alias("duration"))
     return cut.where(F.col("duration") >= 3.2)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.functions import text as T
 from quorumlake.io import table
+from quorumlake.operators import ordered as O
 from quorumlake.operators import sequences as S
 from quorumlake.plans.registry import query
 
@@ -23,14 +24,14 @@ def scan_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query("""SELECT meeting_id, line_no, line FROM (SELECT *, lag(line) OVER (PARTITION BY meeting_id ORDER BY line_no, line_id) AS b FROM transcript_lines) WHERE b IS NULL OR trim(line)='' OR b<>line""")
 def dedupe_consecutive(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "transcript_lines")
-    return S.drop_repeats(lines, "meeting_id", ["line_no", "line_id"], "line").select("meeting_id", "line_no", "line")
+    return S.drop_repeats(lines, "meeting_id", ["line_no", "line_id"], "line", F.floor(F.col("line_no") / 20_000)).select("meeting_id", "line_no", "line")
 
 
 @query("""WITH e AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND row_number() OVER w>1 THEN 0 ELSE 1 END AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 i AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM e)
 SELECT user_id, island::BIGINT AS island, any_value(event_type) AS event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM i GROUP BY 1,2""")
 def speaker_islands(spark: SparkSession, folder: str) -> DataFrame:
-    runs = S.islands(table(spark, folder, "events"), "user_id", ["ts", "event_id"], "event_type")
+    runs = S.islands(table(spark, folder, "events"), "user_id", ["ts", "event_id"], "event_type", chunk=F.to_date("ts"))
     return runs.groupBy("user_id", "island").agg(F.first("event_type").alias("event_type"), F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
@@ -40,13 +41,13 @@ def asof_event(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     clicks = events.where("event_type = 'click' AND value IS NOT NULL").groupBy("user_id", "ts").agg(F.max("value").alias("value"))
-    return S.asof(bought, clicks, "user_id", "ts", "value", "last_click")
+    return S.asof(bought, clicks, "user_id", "ts", "value", "last_click", F.to_date("ts"))
 
 
 @query("""WITH d AS (SELECT l_shipdate::DATE::VARCHAR AS day, sum((l_extendedprice*(1-l_discount))::DECIMAL(18,4)) AS revenue FROM lineitem GROUP BY 1) SELECT day, revenue::DOUBLE AS revenue, (sum(revenue) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING))::DOUBLE AS cumulative FROM d""")
 def running_cumulative(spark: SparkSession, folder: str) -> DataFrame:
     daily = table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").cast("string").alias("day")).agg(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).alias("revenue"))
-    return S.running_total(daily, "day", "revenue", "cumulative").withColumns({c: F.col(c).cast("double") for c in ("revenue", "cumulative")})  # a row a day
+    return S.running_total(daily, "day", "revenue", "cumulative", chunk=F.year("day")).withColumns({c: F.col(c).cast("double") for c in ("revenue", "cumulative")})  # a row a day
 
 
 @query("""WITH d AS (SELECT ts::DATE::VARCHAR AS day, sum(value) AS v FROM events GROUP BY 1), g AS (SELECT day, round(v-(SELECT avg(v) FROM d),4) AS gap FROM d), n AS (SELECT day, gap, lead(day) OVER (ORDER BY day) AS nd, lead(gap) OVER (ORDER BY day) AS ng FROM g)
@@ -54,7 +55,7 @@ SELECT day AS "from", nd AS "to", round(gap/(gap-ng),6) AS fraction, ng<0 AS int
 def zero_crossings(spark: SparkSession, folder: str) -> DataFrame:
     daily = table(spark, folder, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.sum("value").alias("v"))
     gaps = daily.select("day", F.round(F.col("v") - F.avg("v").over(Window.partitionBy()), 4).alias("gap"))  # a row a day
-    return S.crossings(gaps, "day", "gap").withColumn("fraction", F.round("fraction", 6))
+    return S.crossings(gaps, "day", "gap", chunk=F.to_date(F.date_trunc("month", "day"))).withColumn("fraction", F.round("fraction", 6))
 
 
 @query(f"""SELECT doc_id, i AS passage_no, p AS passage FROM (SELECT doc_id, unnest(range(0, len(r))) AS i, array_to_string(w[unnest(r)+1 : unnest(r)+230], ' ') AS p
@@ -78,7 +79,7 @@ def rate_limit(spark: SparkSession, folder: str) -> DataFrame:
 @query("""WITH e AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM e)
 SELECT user_id, min(ts) AS started, max(ts) AS ended, count(*) AS n FROM s GROUP BY user_id, session""")
 def session_debounce(spark: SparkSession, folder: str) -> DataFrame:
-    s = S.sessions(table(spark, folder, "events"), "user_id", "ts", 1800)
+    s = S.sessions(table(spark, folder, "events"), "user_id", "ts", 1800, F.to_date("ts"), "event_id")
     return s.groupBy("user_id", "session").agg(F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count(F.lit(1)).alias("n")).drop("session")
 
 
@@ -138,7 +139,7 @@ def elapsed_scale(spark: SparkSession, folder: str) -> DataFrame:
 SELECT meeting_id, line_no, line_id, last_value(sp IGNORE NULLS) OVER (PARTITION BY meeting_id ORDER BY line_no, line_id ROWS UNBOUNDED PRECEDING) AS speaker FROM l""")
 def speaker_fill(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "transcript_lines").select("meeting_id", "line_no", "line_id", F.nullif(F.regexp_extract("line", "^Speaker ([A-Z]):", 1), F.lit("")).alias("sp"))
-    return S.forward_fill(lines, "meeting_id", ["line_no", "line_id"], "sp", "speaker").drop("sp")
+    return S.forward_fill(lines, "meeting_id", ["line_no", "line_id"], "sp", "speaker", F.floor(F.col("line_no") / 20_000)).drop("sp")
 
 
 @query(f"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace({CLEAN.format(x='text')}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x<>'') AS s FROM documents)
@@ -151,9 +152,7 @@ def paragraphs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT id AS motion_id, row_number() OVER (ORDER BY meeting_id, id) AS surrogate, (row_number() OVER (PARTITION BY meeting_id ORDER BY id)-1)//25 AS batch FROM (SELECT DISTINCT id, meeting_id FROM motions)""")
 def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """Running ids over all rows without one global window: counts of meetings are summed up, rows numbered within their meeting."""
-    rows = table(spark, folder, "motions").select("id", "meeting_id").distinct()
-    counts = rows.groupBy("meeting_id").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("meeting_id", (F.sum("n").over(Window.orderBy("meeting_id")) - F.col("n")).alias("before"))  # a row a meeting
+    """Running ids over all rows without one global window."""
+    rows = O.numbered(table(spark, folder, "motions").select("id", "meeting_id").distinct(), ["meeting_id", "id"], "surrogate")
     own = F.row_number().over(Window.partitionBy("meeting_id").orderBy("id"))
-    return rows.join(before, "meeting_id").select(F.col("id").alias("motion_id"), (F.col("before") + own).alias("surrogate"), F.floor((own - 1) / 25).alias("batch"))
+    return rows.select(F.col("id").alias("motion_id"), "surrogate", F.floor((own - 1) / 25).alias("batch"))

@@ -33,28 +33,35 @@ def once(events: DataFrame, key: str, time: str, late: str) -> DataFrame:
     return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def limited(events: DataFrame, key: str, time: str, seconds: int, most: int) -> DataFrame:
+def limited(events: DataFrame, key: str, time: str, seconds: int, most: int, late: str = "1 day") -> DataFrame:
     """(key, at_us, allowed): an exact sliding limit; a row beyond ``most`` in the last ``seconds`` is refused and not counted.
 
-    The state of a key is the times of the rows allowed in the last ``seconds``, so at most ``most`` numbers.
+    The state of a key is the times of the rows allowed in the last ``seconds``, so at most ``most`` numbers; it is dropped when
+    the watermark, ``late`` behind the latest row, has passed them all.  Rows are put in order within a batch; a row that comes
+    in a later batch than a younger one is judged by the rows allowed so far.
     """
-    kind = events.schema[key].dataType.simpleString()
+    kind, micros = events.schema[key].dataType.simpleString(), seconds * 1_000_000
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         kept = list(state.get[0]) if state.exists else []
-        times = sorted(int(t) for b in batches for t in b["at_us"])
         rows = []
-        for t in times:
-            kept = [x for x in kept if x > t - seconds * 1_000_000]
+        for t in sorted(int(t) for b in batches for t in b["at_us"]):
+            kept = [x for x in kept if x > t - micros]
             ok = len(kept) < most
             if ok:
                 kept.append(t)
             rows.append((k[0], t, ok))
         state.update((kept,))
+        last = max(t for _, t, _ in rows) // 1000 + seconds * 1000
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame(rows, columns=[key, "at_us", "allowed"])
 
-    rows = events.select(key, F.unix_micros(F.col(time).cast("timestamp")).alias("at_us"))
-    return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, at_us bigint, allowed boolean", "kept array<bigint>", "append", GroupStateTimeout.NoTimeout)
+    at = events.select(key, F.col(time).cast("timestamp").alias("__t")).where("__t IS NOT NULL").withWatermark("__t", late)
+    rows = at.select(key, "__t", F.unix_micros("__t").alias("at_us"))
+    return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, at_us bigint, allowed boolean", "kept array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def server_events(chunks: DataFrame, key: str, order: str, chunk: str) -> DataFrame:
