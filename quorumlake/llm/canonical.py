@@ -1,9 +1,11 @@
 """Mapping freely typed values to the entries of a reference list.
 
-Method: a symmetric-delete dictionary of the list's labels, notes and known wordings is sent to every
+Method: a symmetric-delete dictionary of the list's labels, notes and given wordings is sent to every
 executor (its size is checked).  A typed value is normalised, candidates within a bounded edit distance are
 found through shared deletes of a short prefix, and ranked by weighted Damerau-Levenshtein distance, then by
-how often the entry's label is met in the data.  Values without a candidate are reported as ``none``.
+how often the entry's label is met in the data.  A value that is near no phrase is read word by word through a
+second such dictionary, of the phrases' words: forms of a word and short forms count as the word, order does not
+matter, and the entry whose words it has for the most part holds.  Values without a candidate are reported as ``none``.
 
 Scale: no shuffle for the look-up; each Python worker remembers the values it has seen, so a hot value costs
 one dictionary probe per batch.  Only the dictionary and one count per entry travel.
@@ -26,45 +28,38 @@ from quorumlake.io import bounded_rows, built, send
 MAX_ENTRIES = 10_000
 PREFIX = 9
 
-# Wordings met for an entry, by field and the entry's label.  An empty label means "no entry".
+# Wordings that mean an entry and that neither its label nor its note tells, by field and label.  Forms, short
+# forms, orders and misspellings of these and of the labels are left to the rules.  An empty label means "no entry".
 WORDINGS: dict[str, dict[str, str]] = {
     "vote": {
-        "Yes": "y|yes|yea|yeah|aye|ayes|affirmative|in favor|in favour|favor|for|voted yes|voted aye|voted for|votes yes|approve|approved|yes by phone|in the affirmative",
-        "No": "n|no|nay|nays|nay vote|opposed|oppose|opposes|voted no|voted nay|voted against|votes no|negative|against|in opposition|in the negative|not in favor|dissent|dissented",
-        "Abstain": "abstain|abstained|abstaining|abstains|abst|abs|abstention|did not vote abstaining|present not voting|present did not vote|did not vote",
-        "Excused": "excused|exc|excuse|was excused|excused absence|excused travel|excused with leave|absent with leave|away with leave|with leave|on leave",
-        "Absent": "absent|was absent|not present|did not attend|away|abst from meeting|missing from meeting|unexcused|no show|not in attendance",
-        "Recused": "recused|recuse|recuses|recusal|recused self|recused himself|recused herself|conflict|conflict recused|conflict of interest|stepped out|stepped out conflict|stepped out for a conflict|declared a conflict",
-        "": "voice vote|not called|illegible|pending|n/r|nr|see minutes|see recording|x|?|-|tr|li|n/a|none|unknown|unclear|tbd|not recorded|vote|blank|roll call|audio lost|as noted",
+        "Yes": "y|yea|yeah|aye|ayes|affirmative|in favor|in favour|for|in the affirmative|approve",
+        "No": "n|nay|voted nay|oppose|opposes|against|negative|dissent",
+        "Abstain": "abst|abstention|present not voting",
+        "Excused": "on leave|excused absence",
+        "Absent": "not present|did not attend|no show|missing from meeting",
+        "Recused": "recusal|conflict of interest",
+        "": "voice vote|not called|pending|unknown|illegible",
     },
     "business_type": {
-        "Resolution": "resolution|resolutions|a resolution|res|reso|resol|resolution no #|res no #|reso no #|resolution #|joint resolution",
-        "Ordinance": "ordinance|ordinances|an ordinance|ord|ordin|ordinance no #|ord no #|ordinance #|ordinance 2nd reading|ordinance 1st reading|ordinance second reading|ordinance first reading|second reading ordinance",
-        "Consent batch": "consent|consent agenda|consent agenda batch|consent calendar|consent items|consent item|batch consent|consent batch|consent list",
-        "Public hearing": "public hearing|hearing|public hearings|pub hearing|pub hrg|public hrg|hrg|hearing public|public hearing cont|public hearing continued",
-        "Appointment": "appointment|appointments|appoint|appt|appts|appoint member|appointment to board|board appointment|appointing a member",
-        "Preliminary plat": "preliminary plat|prelim plat|prelim|prelim subdivision plat|plat preliminary|preliminary subdivision plat|plat prelim|preliminary plat approval|prel plat",
-        "Final plat": "final plat|fnl plat|plat final|final plat approval|final subdivision plat|fin plat",
-        "Site plan": "site plan|siteplan|site plan review|plan site|commercial site plan|site plan approval",
-        "Rezone": "rezone|rezoning|re zone|re zoning|zone change|zoning change|zoning map change|zoning map amendment|rezone request|change of zone",
-        "Minutes": "minutes|mins|min|minutes approval|approval of minutes|approve minutes|approve prior minutes|prior minutes|approval of prior minutes|meeting minutes|approval of earlier minutes",
-        "Contract award": "contract|contracts|contract award|award contract|award of contract|bid award|award of bid|award bid|contract award bids|contract approval",
-        "Budget amendment": "budget amendment|budget amdt|bdgt amendment|budget amend|amend budget|amend the budget|amended budget|amendment budget|budget adjustment|budget amendments",
-        "Closed session": "closed session|closed|closed mtg|closed meeting|executive session|exec session|adjourn to closed session|closed door session",
-        "Proclamation": "proclamation|proclamations|proc|proclaim|mayors proclamation|mayoral proclamation",
-        "Other business": "other|other business|other bus|misc|miscellaneous|new business other|new business|other items|other misc|misc business",
-        "": "n/a|none|none given|tbd|item|see packet|see recording|scan error|#|# a|# b|# c|page #|?|-|unknown|unclear|blank|business|untitled|illegible|as noted|not given",
+        "Ordinance": "ordinance 2nd reading",
+        "Consent batch": "consent item|consent agenda|consent calendar",
+        "Contract award": "contract award bids|bid award",
+        "Closed session": "closed meeting|executive session",
+        "Proclamation": "proclaim",
+        "Rezone": "zone change|zoning map change",
+        "Other business": "miscellaneous",
+        "": "none given|see packet|scan error|untitled",
     },
     "outcome": {
-        "Passed unanimously": "passed unanimously|unanimous|unanimously|unan|unan approval|passed unan|unanimous approval|unanimous vote|carried unanimously|approved unanimously|approved unanimously all in favor|adopted unanimously|passed with a unanimous vote|carried with a unanimous vote|all ayes motion carried|all ayes|all in favor|motion carried unanimously|every vote cast was in favor",
-        "Passed by divided vote": "passed by divided vote|passed by a divided vote|divided vote|divided|split vote|split vote passed|passed on a split vote|carried not unanimous|passed not unanimous|not unanimous|carried with dissent|carried with votes against|passed by majority|majority vote",
-        "Failed": "failed|fails|fail|motion failed|motion fails|did not pass|did not carry|not approved|not passed|not adopted|defeated|defeat|voted down|denied|rejected|tie vote failed|voted down or tied|lost",
-        "Died for lack of a second": "died for lack of a second|lack of second|lack of a second|no second|died no second|dies for want of a second|died for want of a second|failed due to lack of a second|failed for lack of a second|motion not seconded|not seconded|motion died|died|never came to a vote",
-        "Tabled": "tabled|table|tbld|tabled indefinitely|laid on the table|lay on the table|item was tabled|item tabled|motion to table carried item tabled|motion to table|set aside without a date|set aside",
-        "Continued": "continued|cont|contd|contd to later mtg|continued to later meeting|continued to a date certain|continued to the next meeting|continue|held over|hold over|postponed|postponed to next month|postponed to a later meeting|moved to a later meeting|deferred|deferred to next meeting",
-        "Withdrawn": "withdrawn|withdrew|w/drawn|withdrawn by applicant|withdrawn by the applicant|applicant withdrew|withdrew the motion|motion withdrawn|item pulled|pulled|pulled by applicant|item pulled by the applicant|taken back by the one who asked",
-        "Referred back": "referred back|referred|refer back|referred to staff|referred to committee|referred back to the commission|referred back to staff|remanded|remanded to staff|returned to committee|returned to staff|sent back|sent back to planning|sent back to staff|sent back to another body or staff",
-        "": "see recording|unclear|none|?|-|audio lost|not transcribed|as noted|n/a|outcome|outcome not found|tbd|to be determined|pending|see minutes|illegible|not recorded|unknown|blank|motion|no outcome given|see packet|inaudible",
+        "Passed unanimously": "unanimous|unanimously|unan approval|passed unan|all ayes motion carried|all in favor",
+        "Passed by divided vote": "passed on a split vote|carried not unanimous|carried with dissent|majority vote",
+        "Failed": "motion failed|did not carry|did not pass|not approved|not adopted|defeated|voted down|denied|rejected",
+        "Died for lack of a second": "lack of a second|failed for lack of a second|died no second|not seconded|motion died",
+        "Tabled": "table|tbld|laid on the table|motion to table carried item tabled",
+        "Continued": "contd|continued to a date certain|held over|hold over|postponed|deferred",
+        "Withdrawn": "withdrew|w/drawn|item pulled by the applicant",
+        "Referred back": "remanded to staff|returned to committee|sent back to staff|sent back to planning",
+        "": "tbd|see minutes|see recording|audio lost|not transcribed|unclear",
     },
 }
 #: One scan misreading each, the letters meant first; and the shapes that are cheap to exchange.
@@ -148,17 +143,38 @@ def deletes(text: str, edits: int) -> set[str]:
     return out
 
 
+#: Words that say nothing about which entry is meant.
+_FILLERS = frozenset("a an the of to by with was is be in on at as and or self himself herself it its this item items motion # then".split())
+_SUFFIX = re.compile(r"(?<=[a-z]{3})(?:ations?|ions?|ments?|ings?|als?|ed|es|e|s)$")
+
+
+def root(word: str) -> str:
+    """A word without its ending, so that its forms are one."""
+    return _SUFFIX.sub("", word.removesuffix("ly") if len(word) > 5 else word)
+
+
+def shortens(short: str, word: str) -> bool:
+    """Whether a word is a short form of another: its beginning, or some of its letters in order from the first, at least
+    three and clearly fewer."""
+    if not 3 <= len(short) <= 0.75 * len(word) or short[0] != word[0]:
+        return False
+    rest = iter(word)
+    return word.startswith(short) or len(short) <= 5 and all(c in rest for c in short) and short[-1] in word[len(word) // 3 :]
+
+
 class Lexicon:
-    """The symmetric-delete dictionary of one field."""
+    """The symmetric-delete dictionary of one field, of whole phrases and of their words.
 
-    def __init__(self, entries: list[tuple[str, str, str | None]], wordings: dict[str, str], frequency: dict[str, int]):
+    Phrases are the labels, the notes, and the wordings of an entry (pairs of label and wording, an empty label for "no entry").
+    """
+
+    def __init__(self, entries: list[tuple[str, str, str | None]], wordings: list[tuple[str, str]], frequency: dict[str, int]):
         self.frequency = frequency
         self.phrases: dict[str, str] = {}
         by_label = {label: entry for entry, label, _ in entries}
-        for label, forms in wordings.items():
+        for label, form in wordings:
             if not label or label in by_label:
-                for form in forms.split("|"):
-                    self.phrases.setdefault(form if form in "?-" else plain(form), by_label.get(label, "none"))
+                self.phrases.setdefault(form if form in "?-" else plain(form), by_label.get(label, "none"))
         for entry, label, note in entries:
             if note:
                 self.phrases.setdefault(plain(note), entry)
@@ -171,9 +187,34 @@ class Lexicon:
                 self.index[key].add(phrase)
             for key in deletes(folded(phrase), 2 if len(phrase) > 4 else 1):
                 self.shapes[key].add(phrase)
+        # words: the entries in whose phrases a word stands weigh it, as one met in many entries tells little
+        self.parts = {p: [w for w in p.split() if w not in _FILLERS] for p in self.phrases}
+        of: dict[str, set[str]] = defaultdict(set)
+        for phrase, words in self.parts.items():
+            for w in words:
+                of[w].add(self.phrases[phrase])
+        self.weight = {w: 1.0 / len(es) for w, es in of.items()}
+        self.holding: dict[str, list[str]] = defaultdict(list)
+        for phrase, words in self.parts.items():
+            for w in set(words):
+                self.holding[w].append(phrase)
+        self.told: dict[str, set[str]] = defaultdict(set)
+        for phrase, words in self.parts.items():
+            self.told[self.phrases[phrase]].update(words)
+        self.roots: dict[str, list[str]] = defaultdict(list)
+        self.initials: dict[str, list[str]] = defaultdict(list)
+        self.words: dict[str, set[str]] = defaultdict(set)
+        for w in of:
+            self.roots[root(w)].append(w)
+            self.initials[w[0]].append(w)
+            for key in deletes(w, allowance(len(w))[0]) if len(w) > 3 else ():
+                self.words[key].add(w)
 
     def nearest(self, text: str) -> str | None:
-        """Entry of the nearest phrase, ``none`` for a phrase that means no entry, None without a candidate."""
+        """Entry of the nearest phrase, ``none`` for a phrase that means no entry, None without a candidate.
+
+        Candidates are the phrases within the allowed plain edits, or within two edits of shape.
+        """
         if text in self.phrases:
             return self.phrases[text]
         edits, most = allowance(len(text))
@@ -189,19 +230,62 @@ class Lexicon:
                 ranked.append((round(d, 3), -self.frequency.get(entry, 0), entry, phrase))
         return min(ranked)[2] if ranked else None
 
+    def _alike(self, word: str) -> dict[str, float]:
+        """Dictionary words that a typed word may stand for, each with how surely."""
+        out = {word: 1.0} if word in self.weight else {}
+        for w in self.roots.get(root(word), ()) if len(word) > 2 else ():
+            out[w] = max(out.get(w, 0.0), 0.95)
+        if not out and len(word) > 3:
+            edits, most = allowance(len(word))
+            for w in set().union(*(self.words.get(k, ()) for k in deletes(word, edits))):
+                limit = min(most, allowance(len(w))[1])
+                d = weighted_distance(word, w, limit)
+                if d <= limit:
+                    out[w] = max(out.get(w, 0.0), 0.95 - 0.15 * d)
+        if not out or max(out.values()) < 0.9:
+            for w in self.initials.get(word[0], ()):
+                if shortens(word, w):
+                    out[w] = max(out.get(w, 0.0), 0.85)
+        return out
+
+    def by_words(self, text: str) -> str | None:
+        """Entry of the phrase whose words the text has, in any order and form; None if no phrase has enough of them.
+
+        What a phrase shares is weighed by how few entries a word stands for; words of either that the other lacks count
+        against it.
+        """
+        typed = [w for w in text.split() if w not in _FILLERS][:40]
+        alike = [self._alike(w) for w in typed]
+        scores: dict[str, tuple[float, str]] = {}
+        for phrase in {p for a in alike for w in a for p in self.holding[w]}:
+            words = self.parts[phrase]
+            best = {w: max((a[w] for a in alike if w in a), default=0.0) for w in words}
+            shared = sum(self.weight[w] * x for w, x in best.items())
+            here = sum(self.weight[w] for w in set(words))
+            known = sum(max((self.weight[w] * a[w] for w in a if w in best), default=0.0) for a in alike)
+            entry = self.phrases[phrase]
+            own = self.told[entry]
+            other = sum(0.0 if any(w in own for w in a) else max((self.weight[w] for w in a), default=0.25) for a in alike)
+            score = 2 * shared / (here + known + other) if here else 0.0
+            if (score, phrase) > scores.get(entry, (0.0, "")):
+                scores[entry] = score, phrase
+        ranked = sorted(((-x, -self.frequency.get(e, 0), e) for e, (x, _) in scores.items()))
+        return ranked[0][2] if ranked and -ranked[0][0] >= 0.62 else None
+
     def entry(self, value: str) -> str:
-        """Entry for a typed value: as a whole, without a remark in brackets, then without sentences that follow."""
+        """Entry for a typed value: as a whole, without a remark in brackets, then without sentences that follow; by phrases
+        first, then by words."""
         tries = [value, re.sub(r"\([^)]*\)", " ", value)]
         tries += [value[: m.start()] for m in re.finditer(r"[.;]\s+(?=\S+\s+\S+\s+\S)", value)]
         tries += [re.split(r"\s[-–—]\s", value)[0]]
-        for text in tries:
-            key = plain(text)
-            found = self.nearest(key) if key else None
+        keys = list(dict.fromkeys(k for k in map(plain, tries) if k))
+        for key in keys:
+            found = self.nearest(key)
             if found is not None:
                 return found
             if " " in key and (squeezed := self.nearest(key.replace(" ", ""))) is not None and len(key) > 6:
                 return squeezed
-        return "none"
+        return next((e for key in keys if (e := self.by_words(key)) is not None), "none")
 
 
 def tally(value: str) -> tuple[int, int] | None:
@@ -247,13 +331,21 @@ def outcome_by_tally(counts: tuple[int, int]) -> str:
     return "Failed" if yes <= no else "Passed unanimously" if no == 0 else "Passed by divided vote"
 
 
-def lexicons(rows: list[tuple], frequency: dict[str, int]) -> dict[str, Lexicon]:
-    """A lexicon for each field of the reference list; rows are (entry_id, field, label, note)."""
+def default_wordings() -> list[tuple[str, str, str]]:
+    """(field, label, wording) of the wordings that no rule gives."""
+    return [(field, label, form) for field, by_label in WORDINGS.items() for label, forms in by_label.items() for form in forms.split("|")]
+
+
+def lexicons(rows: list[tuple], frequency: dict[str, int], known: list[tuple[str, str, str]] | None = None) -> dict[str, Lexicon]:
+    """A lexicon for each field of the reference list; rows are (entry_id, field, label, note), known are (field, label, wording)."""
+    wordings = defaultdict(list)
+    for field, label, form in default_wordings() if known is None else known:
+        wordings[field].append((label, form))
     by_field = defaultdict(list)
     for entry, field, label, note in sorted(rows, key=lambda r: tuple(map(str, r))):
         if entry is not None and field is not None and label is not None:
             by_field[field].append((entry, label, note))
-    return {field: Lexicon(entries, WORDINGS.get(field, {}), frequency) for field, entries in by_field.items()}
+    return {field: Lexicon(entries, wordings.get(field, []), frequency) for field, entries in by_field.items()}
 
 
 def entry_of(books: dict[str, Lexicon], labels: dict[tuple[str, str], str], field: str, value: str) -> str:
@@ -263,7 +355,7 @@ def entry_of(books: dict[str, Lexicon], labels: dict[tuple[str, str], str], fiel
     return books[field].entry(value) if field in books else "none"
 
 
-def map_values(values: DataFrame, reference: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
+def map_values(values: DataFrame, reference: DataFrame, max_entries: int = MAX_ENTRIES, wordings: DataFrame | None = None) -> DataFrame:
     """``values`` with the column ``entry_id``.
 
     values: any columns, among them ``field`` and ``value`` (strings).  reference: (entry_id, field, label,
@@ -272,16 +364,23 @@ def map_values(values: DataFrame, reference: DataFrame, max_entries: int = MAX_E
     everywhere; rows with a null id, field or label in it are passed over.  Repeated rows stay repeated; of
     equally near entries the more frequent one wins, then the smaller id.  An ``entry_id`` already in values
     is replaced; all other columns are kept.
+
+    wordings: (field, label, wording) of known ways to write an entry, an empty or null label meaning no entry; at most
+    ``max_entries`` rows.  Without it the few that no rule gives are taken for the fields that have some.
     """
     entries = [tuple(r) for r in bounded_rows(reference.select("entry_id", "field", "label", "note"), max_entries, "the reference list")]
     labels = {(f, l): e for e, f, l, _ in entries if None not in (e, f, l)}
     exact = F.concat_ws("\x1f", "field", "value")
-    known = [f"{f}\x1f{l}" for f, l in labels]
+    typed = [f"{f}\x1f{l}" for f, l in labels]
     frequency: dict[str, int] = {}
-    if known:
-        for r in values.where(exact.isin(known)).groupBy("field", "value").count().collect():  # a row for each label at most
+    if typed:
+        for r in values.where(exact.isin(typed)).groupBy("field", "value").count().collect():  # a row for each label at most
             frequency[labels[r["field"], r["value"]]] = r["count"]
-    sent = send(values.sparkSession, (entries, labels, frequency))
+    known = None
+    if wordings is not None:
+        rows = bounded_rows(wordings.select("field", "label", "wording").where("field IS NOT NULL AND trim(wording) <> ''"), max_entries, "the list of wordings")
+        known = sorted({(f, l or "", w) for f, l, w in map(tuple, rows)})
+    sent = send(values.sparkSession, (entries, labels, frequency, known))
 
     @F.pandas_udf("string")
     def entry(field: pd.Series, value: pd.Series) -> pd.Series:
@@ -293,8 +392,8 @@ def map_values(values: DataFrame, reference: DataFrame, max_entries: int = MAX_E
 
 def _look_up(sent: tuple):
     """The look-up of a Python worker; it remembers up to 200,000 values and starts over beyond."""
-    entries, labels, frequency = sent
-    books, seen = lexicons(entries, frequency), {}
+    entries, labels, frequency, known = sent
+    books, seen = lexicons(entries, frequency, known), {}
 
     def look(field, value):
         if field is None or value is None or not str(value).strip():
@@ -318,7 +417,9 @@ def typed_values(motions: DataFrame) -> DataFrame:
 
 
 def found(motions: DataFrame, reference: DataFrame) -> DataFrame:
-    """(motion_id, field, pos, entry_id) of every value that is not a label itself; rows delivered again count once."""
+    """(motion_id, field, pos, entry_id) of every value that is not a label itself; rows delivered again count once, and rows
+    without an id once for each different value."""
     mapped = map_values(typed_values(motions), reference)
-    labels = F.broadcast(reference.select("field", F.col("label").alias("value")).distinct())
-    return mapped.join(labels, ["field", "value"], "left_anti").select("motion_id", "field", "pos", "entry_id").dropDuplicates(["motion_id", "field", "pos"])
+    labels = reference.select("field", F.col("label").alias("value")).distinct()  # as small as the checked list; Spark picks the join
+    rest = mapped.join(labels, ["field", "value"], "left_anti").withColumn("__own", F.when(F.col("motion_id").isNull(), F.col("value")))
+    return rest.dropDuplicates(["motion_id", "field", "pos", "__own"]).select("motion_id", "field", "pos", "entry_id")
