@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -312,9 +312,9 @@ def resolve(spellings: list[tuple[str, int]]) -> dict[str, int]:
 
 def _merge(profiles: list[Profile], same, block) -> list[Profile]:
     """Merges profiles until no further merge occurs; block gives the keys under which a profile is looked up."""
-    queue, index, alive = list(profiles), defaultdict(list), {}
+    queue, index, alive = deque(profiles), defaultdict(list), {}
     while queue:
-        p = queue.pop(0)
+        p = queue.popleft()
         found = next((q for k in sorted(block(p)) for q in index[k] if id(q) in alive and same(p, q)), None)
         if found is None:
             alive[id(p)] = p
@@ -323,7 +323,7 @@ def _merge(profiles: list[Profile], same, block) -> list[Profile]:
         else:
             del alive[id(found)]
             found.absorb(p)
-            queue.insert(0, found)  # the richer profile is matched again
+            queue.appendleft(found)  # the richer profile is matched again
     return list(alive.values())
 
 

@@ -505,11 +505,12 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
     motions: (id, body, page, date, item_title, motion); further columns are left out.  text is the repaired text,
     words the right forms of the words and numbers that stood broken or misread, each once, edges whether headers,
     footers or page numbers were taken out.  Null and blank fields yield nothing; null body, page or date only
-    weaken the search for page edges.  Rows delivered again yield one row.  The vocabulary is that of these
+    weaken the search for page edges.  Rows delivered again yield one row, rows without an id one for each different
+    text.  The vocabulary is that of these
     motions, all words that occur twice or more; one of more than ``max_words`` words is not sent but joined, with
     the same result.  More than ``max_headers`` different headers are an error.
     """
-    fields = _fields(motions).dropDuplicates(["motion_id", "field"])
+    fields = _fields(motions).withColumn("__own", F.when(F.col("motion_id").isNull(), F.sha2("text", 256))).dropDuplicates(["motion_id", "field", "__own"]).drop("__own")
     counted = cut(_counted(fields))
     words = counted.where((F.col("kind") == "word") & (F.col("n") >= 2)).select("key", "n")
     headers = {(r["body"], r["key"]) for r in bounded_rows(_headers(counted), max_headers, "the set of headers")}
