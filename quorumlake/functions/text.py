@@ -343,3 +343,49 @@ def named_body(questions: DataFrame, question: str, bodies: DataFrame, fallback:
     low = questions.select(question).distinct().withColumn("__q", F.lower(question))
     hits = low.join(labels, F.contains("__q", F.col("__l"))).groupBy(question).agg(F.min("__b").alias("body"))
     return questions.join(hits, question, "left").withColumn("body", F.coalesce("body", F.lit(fallback)))
+
+
+def cut_hard(x: Column, most: int) -> Column:
+    """Collapsed white space, at most ``most`` characters."""
+    return F.rtrim(F.left(clean(x), F.lit(most)))
+
+
+def cut_at_sentence(x: Column, most: int) -> Column:
+    """Collapsed white space, cut after the last whole sentence within ``most`` characters, else at them."""
+    text = clean(x)
+    head = F.left(text, F.lit(most))
+    whole = F.regexp_extract(head, r"^(.*[.!?])(?:\s|$)", 1)
+    return F.when(F.length(text) <= most, text).when(whole != "", whole).otherwise(F.rtrim(head))
+
+
+def first_sentence(x: Column) -> Column:
+    return F.coalesce(F.get(sentences(x), F.lit(0)), F.lit(""))
+
+
+def stable_number(x: Column) -> Column:
+    """A number for a text: the first twelve hexadecimal digits of its SHA-1."""
+    return F.conv(F.left(F.sha1(x), F.lit(12)), 16, 10).cast("bigint")
+
+
+def version_mark(x: Column) -> Column:
+    """Ten hexadecimal digits of the SHA-1 of a text, to tell its versions apart."""
+    return F.left(F.sha1(x), F.lit(10))
+
+
+def inline_markdown(x: Column) -> Column:
+    """Code, bold, emphasis and links of one paragraph as HTML; all else escaped."""
+    t = escape_html(x)
+    for pattern, html in ((r"`([^`]+)`", "<code>$1</code>"), (r"\*\*([^*]+)\*\*", "<strong>$1</strong>"), (r"\*([^*\s][^*]*)\*", "<em>$1</em>"), (r"\[([^\]]+)\]\((https?://[^)\s]+)\)", '<a href="$2">$1</a>')):
+        t = F.regexp_replace(t, pattern, html)
+    return t
+
+
+def markdown(x: Column) -> Column:
+    """Headings, lists and paragraphs of a small Markdown text as HTML; blocks are divided by blank lines."""
+    t = inline_markdown(F.regexp_replace(x, r"\r\n?", "\n"))
+    t = F.regexp_replace(t, r"(?m)^#{1,6}[ \t]+(.*)$", "\n\n<h3>$1</h3>\n\n")
+    t = F.regexp_replace(t, r"(?m)^[-•][ \t]+(.*)$", "<li>$1</li>")
+    t = F.regexp_replace(t, r"((?:<li>.*</li>\n?)+)", "\n\n<ul>$1</ul>\n\n")
+    t = F.regexp_replace(t, r"\n</ul>", "</ul>")
+    blocks = F.filter(F.transform(F.split(t, r"\n[ \t]*\n\s*"), lambda b: F.regexp_replace(F.regexp_replace(b, r"^\s+|\s+$", ""), r"\s*\n\s*", " ")), lambda b: b != "")
+    return F.array_join(F.transform(blocks, lambda b: F.when(b.rlike("^<(h3|ul)>"), b).otherwise(F.concat(F.lit("<p>"), b, F.lit("</p>")))), "")

@@ -29,3 +29,10 @@ def require_empty(df: DataFrame, what: str, shown: int = 20) -> None:
     rows = df.limit(shown).collect()
     if rows:
         raise ValueError(f"{what}: " + "; ".join(str(r.asDict()) for r in rows))
+
+
+def id_problems(df: DataFrame, id_: str, form: str) -> DataFrame:
+    """(id, problem) of ids that are not in the form ("form") or stand more than once ("twice")."""
+    counts = df.groupBy(id_).agg(F.count(F.lit(1)).alias("n"))
+    problem = F.when(~F.coalesce(F.col(id_).rlike(form), F.lit(False)), "form").when(F.col("n") > 1, "twice")
+    return counts.select(id_, problem.alias("problem")).where("problem IS NOT NULL")

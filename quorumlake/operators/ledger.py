@@ -194,3 +194,9 @@ def deltas(df: DataFrame, name: str, before: str, after: str) -> DataFrame:
 def largest(df: DataFrame, order: list[Column], most: int) -> DataFrame:
     """The first ``most`` rows in the order, with ``place``."""
     return df.orderBy(*order).limit(most).withColumn("place", F.row_number().over(Window.orderBy(*order)))  # ``most`` rows
+
+
+def regrouped(df: DataFrame, key: list[str], old: str, new: Column, value: Column) -> DataFrame:
+    """(key, old_total, new_total, old_groups, new_groups): totals and numbers of groups by an old and a new grouping."""
+    both = df.groupBy(*key, old, new.alias("__new")).agg(F.sum(value).alias("__v"))
+    return both.groupBy(*key).agg(*(F.round(F.sum("__v"), 2).alias(n) for n in ("old_total", "new_total")), F.count_distinct(old).alias("old_groups"), F.count_distinct("__new").alias("new_groups"))

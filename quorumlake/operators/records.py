@@ -116,3 +116,48 @@ def grouped(parents: DataFrame, children: DataFrame, foreign: str, order: list[s
     """``parents`` with ``items``: their children (order, fields) in falling order; parents without any are left out."""
     items = children.groupBy(F.col(foreign).alias("id")).agg(F.sort_array(F.collect_list(F.struct(*order, *fields)), asc=False).alias("items"))
     return parents.join(items, "id")
+
+
+def has_recording(event_media: Column, *paths: Column) -> Column:
+    """Whether a meeting is said to have media and one of the paths to it is given."""
+    return F.coalesce(event_media, F.lit(False)) & (F.coalesce(*(F.nullif(F.trim(p), F.lit("")) for p in paths)).isNotNull())
+
+
+def public(bodies: DataFrame) -> DataFrame:
+    return bodies.where(~F.coalesce("hidden", F.lit(False)))
+
+
+def with_plain(rows: DataFrame, items: str, cache: DataFrame, key) -> DataFrame:
+    """``rows`` with ``plain`` in each struct of the array ``items``: the text of the cache (key, plain) under the item's key.
+
+    Items are looked up as rows and put together again by place, so the cache may have any size; rows need an ``id``."""
+    placed = rows.select("id", F.posexplode(items).alias("pos", "i")).withColumn("key", key(F.col("i")))
+    found = placed.join(cache.groupBy("key").agg(F.min("plain").alias("plain")), "key", "left")
+    again = found.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "i", "plain"))), lambda x: x["i"].withField("plain", F.coalesce(x["plain"], F.lit("")))).alias("__i"))
+    return rows.join(again, "id", "left").withColumn(items, F.coalesce("__i", F.array().cast(again.schema["__i"].dataType))).drop("__i")
+
+
+def upcoming_card(events: DataFrame, today: str) -> DataFrame:
+    """(body, id, date, start, items, hearings): of each body the next event by date and start, with its items that are no procedure and
+    its public hearings.  events: (body, id, date, start, agenda array of (procedural, items array of (kind)))."""
+    agenda = F.coalesce("agenda", F.array())
+    items = F.aggregate(agenda, F.lit(0), lambda n, h: n + F.when(h["procedural"], 0).otherwise(F.size(h["items"])))
+    hearings = F.aggregate(agenda, F.lit(0), lambda n, h: n + F.size(F.filter(h["items"], lambda i: F.upper(i["kind"]).contains("PUBLIC HEARING"))))
+    later = events.where(F.col("date") >= today).select("body", "id", "date", F.coalesce("start", F.lit("")).alias("start"), items.alias("items"), hearings.alias("hearings"))
+    return later.groupBy("body").agg(F.min(F.struct("date", "start", "id", "items", "hearings")).alias("x")).select("body", "x.*")
+
+
+def linked(rows: DataFrame, pages: DataFrame, key: str, fallback: Column) -> DataFrame:
+    """``rows`` with ``link``: the page of the key (pages: key, page), else the fallback."""
+    one = pages.groupBy(key).agg(F.min("page").alias("__p"))
+    return rows.join(one, key, "left").withColumn("link", F.coalesce("__p", fallback)).drop("__p")
+
+
+def batched(df: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
+    """``df`` with ``batch``: consecutive rows of a key by ``most``, as they go into one call."""
+    return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1) / most))
+
+
+def to_do(rows: DataFrame, done: DataFrame, key: list[str], parameters: str) -> DataFrame:
+    """Rows without a result made with these parameters; results (key, parameters) of others count as none."""
+    return rows.join(done.where(F.col("parameters") == parameters).select(*key).distinct(), key, "left_anti")

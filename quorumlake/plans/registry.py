@@ -24,4 +24,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from quorumlake.plans import budgets, corpus, documents, printed, records, relations, search, sequences, streams, texts, votes  # noqa: F401
+    from quorumlake.plans import budgets, corpus, documents, printed, records, relations, rest, search, sequences, streams, texts, votes  # noqa: F401

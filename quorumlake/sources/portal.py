@@ -21,7 +21,7 @@ def _files(folder: str):
     """The file system of a folder, which may be an address such as hdfs:// or s3://, and its path there."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and "://" not in folder else folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
 
 
 def _page(where, path: str) -> list[dict]:
