@@ -114,12 +114,12 @@ def like_given(a: str, b: str) -> bool:
 class Profile:
     """What the merged spellings say together."""
 
-    __slots__ = ("names", "weight", "kind", "surnames", "given", "middle", "suffix", "core", "types", "acronym")
+    __slots__ = ("names", "weight", "kind", "surnames", "given", "middle", "suffix", "core", "types", "printed", "acronym")
 
     def __init__(self, kind: str):
         self.kind, self.names, self.weight = kind, [], 0
         self.surnames, self.given, self.middle, self.suffix = {}, set(), set(), set()
-        self.core, self.types, self.acronym = (), set(), None
+        self.core, self.types, self.printed, self.acronym = (), set(), (), None
 
     def absorb(self, other: Profile) -> None:
         self.names += other.names
@@ -131,6 +131,7 @@ class Profile:
         self.suffix |= other.suffix
         self.types |= other.types
         self.core = self.core or other.core
+        self.printed = max(self.printed, other.printed, key=len)  # types in the order in which the fullest spelling has them
         self.acronym = self.acronym or other.acronym
 
     @property
@@ -170,7 +171,7 @@ def parse(name: str | None, count: int = 1) -> Profile | None:
     if org and reversed_given is None:
         p = Profile("org")
         p.names, p.weight, (p.core, types) = [name], count, org
-        p.types = set(types)
+        p.types, p.printed = set(types), tuple(types)
         return p if p.core else None
     while low and low[0] in TITLES:
         low.pop(0)
@@ -215,24 +216,16 @@ def _organisation(low: list[str]) -> tuple[tuple[str, ...], list[str]] | None:
     return (tuple(words), types) if types else None
 
 
-def initials(p: Profile) -> set[str]:
-    """Acronyms that the words of an organisation make, with and without a letter for "and"."""
-    kinds = [t for t in _ordered_types(p.types) if t not in _LEGAL]
+def initials(p: Profile, more: str = "") -> set[str]:
+    """Acronyms that the words of an organisation make, with and without a letter for "and", and with a letter more."""
     letters = "".join(w[0] for w in p.core).upper()
-    tail = "".join(t[0] for t in kinds).upper()
+    tail = "".join(t[0] for t in p.printed if t not in _LEGAL).upper() + more
     out = {letters + tail}
     if len(p.core) == 2:
         out.add(f"{letters[0]}a{letters[1]}{tail}")
     return out
 
 
-_TYPE_ORDER = "engineering irrigation neighborhood homes land water development builders services incorporated company association district partners group trust".split()
-
-
-def _ordered_types(types: set[str]) -> list[str]:
-    return sorted(types, key=lambda t: (_TYPE_ORDER.index(t) if t in _TYPE_ORDER else 99, t))
-
-
 def keys(p: Profile) -> list[str]:
     """Keys one of which any two spellings of one entity are apt to share."""
     out = set()
@@ -250,13 +243,10 @@ def keys(p: Profile) -> list[str]:
 
 
 def _full_acronyms(p: Profile) -> set[str]:
-    """Acronyms with the type words that a short spelling may have left out."""
-    more = {"homes": "incorporated", "water": "company", "engineering": "group", "irrigation": "district", "neighborhood": "association", "land": "partners"}
-    if len(p.types - _LEGAL) == 1 and (extra := more.get(next(iter(p.types - _LEGAL)))):
-        q = Profile("org")
-        q.core, q.types = p.core, p.types | {extra}
-        return initials(q)
-    return set()
+    """Acronyms with one letter more, that of a type word which a spelling with a single one may have left out."""
+    if len(p.types - _LEGAL) != 1:
+        return set()
+    return {x for first in {t[0].upper() for t in TYPES if t not in p.types} for x in initials(p, first)}
 
 
 # ---- deciding ------------------------------------------------------------------------------------------------
@@ -335,18 +325,35 @@ def _merge_orgs(orgs: list[Profile]) -> list[Profile]:
     return _unique(named + short, lambda p: not p.core, same_org)
 
 
+def _blocked(profiles: list[Profile]) -> dict[str, list[Profile]]:
+    index: dict[str, list[Profile]] = defaultdict(list)
+    for q in profiles:
+        for k in keys(q):
+            index[k].append(q)
+    return index
+
+
+def _near_ones(p: Profile, index: dict[str, list[Profile]]) -> list[Profile]:
+    """Profiles that share a key with this one, each once."""
+    return list({id(q): q for k in keys(p) for q in index.get(k, ()) if q is not p}.values())
+
+
 def _unique(profiles: list[Profile], partial, same) -> list[Profile]:
-    """Merges each partial profile into the one other that it can mean; where there are several, into none."""
+    """Merges each partial profile into the one other of its blocks that it can mean; where there are several, into none."""
+    gone: set[int] = set()
     again = True
     while again:
         again = False
-        for p in [q for q in profiles if partial(q)]:
-            fits = [q for q in profiles if q is not p and not partial(q) and same(p, q)]
+        index = _blocked([q for q in profiles if id(q) not in gone and not partial(q)])
+        for p in profiles:
+            if id(p) in gone or not partial(p):
+                continue
+            fits = [q for q in _near_ones(p, index) if same(p, q)]
             if len(fits) == 1:
-                profiles.remove(p)
+                gone.add(id(p))
                 fits[0].absorb(p)
                 again = True
-    return profiles
+    return [q for q in profiles if id(q) not in gone]
 
 
 def _person_block(p: Profile) -> set[str]:
@@ -390,12 +397,15 @@ def _merge_people(people: list[Profile]) -> list[Profile]:
 
 def _bare_suffixes(whole: list[Profile]) -> list[Profile]:
     """A whole name without suffix is the one bearer of that name with a suffix, if there is just one."""
-    for p in [q for q in whole if not q.suffix]:
-        fits = [q for q in whole if q.suffix and q is not p and _surnames_like(p, q) and any(like_given(x, y) for x in p.full for y in q.full)]
+    index, gone = _blocked([q for q in whole if q.suffix]), set()
+    for p in whole:
+        if p.suffix:
+            continue
+        fits = [q for q in _near_ones(p, index) if _surnames_like(p, q) and any(like_given(x, y) for x in p.full for y in q.full)]
         if len(fits) == 1 and (not p.middle or not fits[0].middle or p.middle & fits[0].middle):
-            whole.remove(p)
+            gone.add(id(p))
             fits[0].absorb(p)
-    return whole
+    return [q for q in whole if id(q) not in gone]
 
 
 def _fits(p: Profile, whole: list[Profile]) -> list[Profile]:
