@@ -70,7 +70,7 @@ def borrowing(spark: SparkSession, folder: str) -> DataFrame:
 # ---- projections -----------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT s_suppkey AS config, f AS field, CASE WHEN f='taxable_value' AND s_suppkey%3=0 THEN 500.0 WHEN f='taxable_value' THEN s_suppkey*10.0 WHEN s_suppkey%4=0 THEN NULL ELSE 0.98 END AS value FROM supplier, (VALUES ('taxable_value'),('collection_rate')) t(f)""")
+@query("""SELECT s_suppkey AS config, f AS field, CASE WHEN f='taxable_value' AND s_suppkey%3=0 THEN 500.0::DOUBLE WHEN f='taxable_value' THEN (s_suppkey*10)::DOUBLE WHEN s_suppkey%4=0 THEN NULL ELSE 0.98::DOUBLE END AS value FROM supplier, (VALUES ('taxable_value'),('collection_rate')) t(f)""")
 def baselines(spark: SparkSession, folder: str) -> DataFrame:
     """Baseline fields as numbers or objects, with overrides of which only finite ones hold."""
     s = table(spark, folder, "supplier")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import subprocess
+from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -113,14 +116,25 @@ def font_faces(files: DataFrame, subsets: list[str]) -> DataFrame:
     return faces.withColumn("file", F.concat(F.first(name).over(shared), F.lit(".woff2"))).drop("__r", "source_file", "pos")
 
 
-def settings(text: str) -> dict[str, str]:
-    """key=value lines; "export", quotes, blank lines and comments are borne."""
+def settings(text: str, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """key=value lines; "export", quotes, blank lines and comments are borne.  Overrides, such as the environment, hold for keys
+    of the text where they are not empty."""
     out = {}
     for line in text.splitlines():
         m = re.match(r"^\s*(?:export\s+)?([A-Za-z_]\w*)\s*=\s*(.*?)\s*$", line)
         if m and not line.lstrip().startswith("#"):
             out[m[1]] = re.sub(r"""^(['"])(.*)\1$""", r"\2", m[2])
-    return out
+    return out | {k: v for k, v in (overrides or {}).items() if k in out and v}
+
+
+def committed_at(path: str) -> datetime | None:
+    """When a file was last committed, by the git repository it lies in; None without one or without a commit."""
+    where = Path(path)
+    try:
+        told = subprocess.run(["git", "-C", str(where.parent), "log", "-1", "--format=%cI", "--", where.name], capture_output=True, text=True, check=True, timeout=60).stdout.strip()
+    except (OSError, subprocess.SubprocessError):
+        return None
+    return datetime.fromisoformat(told) if told else None
 
 
 def landed(spark: SparkSession, path: str, schema: str, key: str, order: str) -> DataFrame:

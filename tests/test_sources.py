@@ -53,7 +53,21 @@ def test_html_and_css(spark):
 
 
 def test_settings():
-    assert readers.settings("# c\nexport A='b c'\nD = e\n\nbad line\n") == {"A": "b c", "D": "e"}
+    text = "# c\nexport A='b c'\nD = e\n\nbad line\n"
+    assert readers.settings(text) == {"A": "b c", "D": "e"}
+    assert readers.settings(text, {"D": "f", "A": "", "HOME": "/"}) == {"A": "b c", "D": "f"}
+
+
+def test_committed_at(tmp_path):
+    import subprocess
+
+    git = lambda *a: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=t", "-c", "user.email=t@t", *a], check=True, capture_output=True, env={"GIT_COMMITTER_DATE": "2024-01-02T03:04:05+00:00", "PATH": "/usr/bin:/bin:/usr/local/bin"})
+    git("init")
+    (tmp_path / "a").write_text("x")
+    git("add", "a")
+    git("commit", "-m", "m")
+    assert readers.committed_at(str(tmp_path / "a")).isoformat() == "2024-01-02T03:04:05+00:00"
+    assert readers.committed_at(str(tmp_path / "b")) is None and readers.committed_at("/nowhere/x") is None
 
 
 def test_portal(spark, tmp_path):
