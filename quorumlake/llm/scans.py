@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.io import bounded_rows, built, cut, send
+from quorumlake.io import bounded_rows, built, cut, send, spread
 from quorumlake.llm.canonical import weighted_distance
 
 MAX_WORDS, MAX_HEADERS = 500_000, 500_000
@@ -510,7 +510,10 @@ def repair(motions: DataFrame, max_words: int = MAX_WORDS, max_headers: int = MA
     motions, all words that occur twice or more; one of more than ``max_words`` words is not sent but joined, with
     the same result.  More than ``max_headers`` different headers are an error.
     """
-    fields = _fields(motions).withColumn("__own", F.when(F.col("motion_id").isNull(), F.sha2("text", 256))).dropDuplicates(["motion_id", "field", "__own"]).drop("__own")
+    own = ["motion_id", "field", "__own"]
+    fields = _fields(motions).withColumn("__own", F.when(F.col("motion_id").isNull(), F.sha2("text", 256)))
+    # shuffled and written once, for the counts and for the repair
+    fields = cut(spread(fields, *own).dropDuplicates(own).drop("__own"))
     counted = cut(_counted(fields))
     words = counted.where((F.col("kind") == "word") & (F.col("n") >= 2)).select("key", "n")
     headers = {(r["body"], r["key"]) for r in bounded_rows(_headers(counted), max_headers, "the set of headers")}
@@ -547,8 +550,7 @@ def _repaired_rows(batch: pd.DataFrame, vocabulary: Vocabulary | Asking, known:
 def _repaired_in_chunks(fields: DataFrame, words: DataFrame, total: int, headers: set[tuple[str, str]], schema: str) -> DataFrame:
     """The same repair with a vocabulary of any size: each chunk of rows is joined with the words it may look up."""
     sent = send(fields.sparkSession, headers)
-    # written once: a chunk must be repaired with the very texts that it asked for
-    fields = cut(fields)
+    # fields were written once: a chunk is repaired with the very texts that it asked for
     chunks = max(1, -(-fields.count() // CHUNK_ROWS))
     dealt = fields.withColumn("chunk", F.pmod(F.xxhash64("motion_id", "field"), F.lit(chunks)).cast("int"))
 
