@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.io import bounded_rows, built, send
 
-MAX_ITEMS, SEED, COVER = 200_000, 3, 10
+MAX_ITEMS, SEED, COVER = 200_000, 3, 12
 MIN_WORDS, CHANGED, FOREIGN = 25, 8, 3
 #: How far two runs of one passage may lie apart on the diagonal, and from run to run in the document.
 DRIFT, REACH = 12, 24
@@ -94,48 +94,57 @@ class Automaton:
         self.words = {i: words(t) for i, t in items}
         # the measure of length is pieces between white space, as a hyphenated word may be two words here
         self.weight = {i: [1.0 / len(w) for piece in _pieces(t) if (w := words(piece)) for _ in w] for i, t in items}
-        at: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, ws in self.words.items():
+        # words as numbers from 1; 0 is any word that no item has
+        self.numbers: dict[str, int] = {}
+        self.numbered = {i: [self.numbers.setdefault(w, len(self.numbers) + 1) for w in ws] for i, ws in self.words.items()}
+        self.present = np.zeros(len(self.numbers) + 1, dtype=bool)
+        at: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
+        for i, ws in self.numbered.items():
             for p in range(len(ws) - SEED + 1):
-                at[" ".join(ws[p : p + SEED])].append((i, p))
-        self.tree = ahocorasick.Automaton()
+                at[tuple(ws[p : p + SEED])].append((i, p))
+        self.tree = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for number, seed in enumerate(at):
-            self.tree.add_word(f" {seed} ", number)
+            self.tree.add_word(seed, number)
         if at:
             self.tree.make_automaton()
-        numbers: dict[str, int] = {}
-        self.numbered = {i: np.array([numbers.setdefault(w, len(numbers)) for w in ws], dtype=np.int64) for i, ws in self.words.items()}
-        self.numbers, self.present = numbers, np.zeros(len(numbers) + 1, dtype=bool)
         lengths = [np.concatenate(([0.0], np.cumsum(w))) for w in self.weight.values()]
         # of all items, one after another, each with a place before its first word: numbers, weights, and the last place
         # at least MIN_WORDS earlier, -1 if there is none; the place before the first has no weight
         self.sizes = np.array([len(x) for x in lengths], dtype=np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        self.all_numbers = np.concatenate([x for n in self.numbered.values() for x in ([len(numbers)], n)] or [[]]).astype(np.int64)
+        self.all_numbers = np.concatenate([x for n in self.numbered.values() for x in ([0], n)] or [[]]).astype(np.int64)
         self.all_weights = np.concatenate([np.diff(x, prepend=0.0) for x in lengths] or [[]])
         self.far = np.concatenate([np.searchsorted(x, x - MIN_WORDS + 1e-6, side="right") - 1 for x in lengths] or [[]]).astype(np.int64)
+        self.longest = max(map(len, self.words.values()), default=0) + SEED + 1
         # places of each seed, one after another: the item, the word of the item
         self.n_places = np.array([len(v) for v in at.values()], dtype=np.int64)
         self.first_place = np.concatenate(([0], np.cumsum(self.n_places)))[:-1]
         self.place_item = np.array([i for v in at.values() for i, _ in v], dtype=np.int64)
         self.place_word = np.array([p for v in at.values() for _, p in v], dtype=np.int64)
 
-    def _candidates(self, ws: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    def _candidates(self, text: tuple[int, ...]) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(item, places of its seeds in the text, words of the item) for stretches of seeds that cover COVER words of an item."""
-        hits = list(self.tree.iter(f" {' '.join(ws)} "))
-        if len(hits) < COVER // SEED + 1:
+        hits = list(self.tree.iter(text))
+        if len(hits) < -(-COVER // SEED):
             return []
         ends, seeds = np.array(hits, dtype=np.int64).T
         n = self.n_places[seeds]
         skip = np.repeat(self.first_place[seeds] - (np.cumsum(n) - n), n)
         place = np.arange(len(skip)) + skip
         item = self.place_item[place]
-        # items with seeds enough, then those whose words stand in the text at all; few are left
+        # items of which seeds cover words enough, then those whose words stand in the text at all; few are left
         often = np.bincount(item)
-        items = np.flatnonzero(often > COVER // SEED)
-        get = self.numbers.get
-        near = [k for w in set(ws) if (k := get(w)) is not None]
+        key = np.sort(item * self.longest + self.place_word[place])
+        of = key // self.longest
+        first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        fresh = np.minimum(SEED, np.diff(key, append=0))
+        fresh[np.concatenate((first[1:], [len(key)])) - 1] = SEED
+        items = of[first[np.add.reduceat(fresh, first) >= COVER]]
+        if not len(items):
+            return []
+        near = np.array(text)
         self.present[near] = True
+        self.present[0] = False
         items = items[self._may_hold(items, lambda _, numbers: self.present[numbers])]
         self.present[near] = False
         if not len(items):
@@ -143,8 +152,7 @@ class Automaton:
         wanted = np.zeros(len(often), dtype=bool)
         wanted[items] = True
         kept = np.flatnonzero(wanted[item])
-        starts = np.cumsum([len(w) + 1 for w in ws])
-        item, word, at = item[kept], self.place_word[place[kept]], np.searchsorted(starts, np.repeat(ends, n)[kept]) + 1 - SEED
+        item, word, at = item[kept], self.place_word[place[kept]], np.repeat(ends, n)[kept] + 1 - SEED
         order = np.argsort(item, kind="stable")  # hits come in the order of the text
         item, word, at = item[order], word[order], at[order]
         stretch = np.concatenate(([0], np.cumsum((item[1:] != item[:-1]) | (at[1:] - at[:-1] > REACH + SEED))))
@@ -161,9 +169,9 @@ class Automaton:
         stands(own, numbers) says which words stand in the text, own being the place among the items.
         """
         n = self.sizes[items]
-        own = np.repeat(np.arange(len(items)), n)
         shift = np.cumsum(n) - n
-        place = np.arange(len(own)) + np.repeat(self.begins[items] - shift, n)
+        place = np.arange(shift[-1] + n[-1]) + np.repeat(self.begins[items] - shift, n)
+        own = np.repeat(np.arange(len(items)), n)
         weights = self.all_weights[place]
         score = np.cumsum(np.where(stands(own, self.all_numbers[place]), weights, (1.0 - CHANGED) * weights))
         low = 1e7 * own  # keeps the least score of one item from the next
@@ -178,7 +186,9 @@ class Automaton:
     def leaks(self, text: str) -> list[tuple[int, int, int]]:
         """(item, first word, word after the last) for each item that the text holds; the words are the text's."""
         ws = words(text) if text and len(self.place_item) else []
-        found = self._candidates(ws) if len(ws) >= SEED else []
+        get = self.numbers.get
+        numbered = tuple([get(w, 0) for w in ws])
+        found = self._candidates(numbered) if len(ws) >= SEED else []
         if not found:
             return []
         # the same test again for each stretch of seeds, of the words around it only: by the sorted places of each word
@@ -186,8 +196,9 @@ class Automaton:
         reach = 2 * REACH + np.maximum(0, self.sizes[items] // CHANGED - 3)
         low, high = np.array([at[0] for _, at, _ in found]) - reach, np.array([at[-1] for _, at, _ in found]) + SEED + reach
         size = len(ws) + 1
-        at = np.array([k * size + n for n, w in enumerate(ws) if (k := self.numbers.get(w)) is not None], dtype=np.int64)
-        at.sort()
+        known = np.array(numbered, dtype=np.int64)
+        at = np.flatnonzero(known)
+        at = np.sort(known[at] * size + at)
         low, high = np.maximum(low, 0), np.minimum(high, len(ws))
 
         def stands(own: np.ndarray, numbers: np.ndarray) -> np.ndarray:

@@ -100,7 +100,7 @@ def test_changed_and_foreign_words_in_short_runs():
 
 @pytest.mark.parametrize("seed", range(20))
 def test_nothing_is_lost_before_the_alignment(seed):
-    """What the tests before the alignment let through holds every passage with runs of three words that cover ten."""
+    """What the tests before the alignment let through holds every passage with runs of three words that cover twelve."""
     r = random.Random(100 + seed)
     items = [(n, " ".join(WORDS(r.randint(20, 90), 50 + n))) for n in range(12)]
     n, text = r.choice(items)
@@ -119,3 +119,12 @@ def test_nothing_is_lost_before_the_alignment(seed):
     doc = [x for m in range(3) for x in WORDS(r.randint(5, 60), 300 + m)] + passage + WORDS(40, 400)
     want = {n} if len(ws[start : start + 30]) >= 26 else set()
     assert {i for i, _, _ in L.Automaton(items).leaks(" ".join(doc))} >= want
+
+
+def test_four_short_runs_are_enough():
+    """Twelve words in four runs of three, all other words of the passage alone or in pairs."""
+    passage, at = [], 0
+    for n in (3, 2, 1, 3, 2, 3, 2, 2, 3, 2, 2):
+        passage += ITEM[at : at + n] + ["zz"]
+        at += n
+    assert at == 25 and held(NOISE[:30] + passage + NOISE[30:60]) == {1}
