@@ -66,11 +66,28 @@ def running_sum(df: DataFrame, key: str, chunk: Column, order: list[str], value:
     return joined.withColumn(name, both).drop("__chunk", "__base")
 
 
+def segments(df: DataFrame, key: str, chunk: Column, order: list[str], values: list[str], opens, name: str) -> DataFrame:
+    """Adds ``name``: the number, from 1, of the segment in which a row stands.
+
+    opens(before, row) says whether a row opens a segment, from structs of ``values`` of the row before and its own; the first
+    row of a key always does.  One window in each chunk; the chunk table says whether a chunk's first row opens one.
+    """
+    within, at = _within(key, order), F.struct(*order)
+    rows = df.withColumn("__chunk", chunk).withColumn("__v", F.struct(*values))
+    before = F.lag("__v").over(within)
+    local = rows.withColumn("__b", before).withColumn("__n", F.when(F.col("__b").isNull(), 0).otherwise(opens(F.col("__b"), F.col("__v")).cast("int")))
+    local = local.withColumn("__s", F.sum("__n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = _ends(local, key, F.min_by("__v", at).alias("__head"), F.max_by("__v", at).alias("__tail"), F.sum("__n").alias("__inside"))
+    last = F.lag("__tail").over(_chunks())
+    ends = ends.withColumn("__first", F.when(last.isNull(), 1).otherwise(opens(last, F.col("__head")).cast("int")))
+    base = F.sum(F.col("__first") + F.col("__inside")).over(_chunks().rowsBetween(Window.unboundedPreceding, 0)) - F.col("__inside")
+    joined = _join(local, ends.select("__k", "__c", base.alias("__base")), key)
+    return joined.withColumn(name, F.col("__base") + F.col("__s")).drop("__chunk", "__v", "__b", "__n", "__s", "__base")
+
+
 def run_numbers(df: DataFrame, key: str, chunk: Column, order: list[str], value: str, name: str) -> DataFrame:
     """Adds ``name``: the number, from 1, of the run of equal values (null equals null) in which a row stands."""
-    named = with_previous(df.withColumn("__v", F.struct(F.col(value).alias("v"))), key, chunk, order, {"__p": "__v"})
-    change = F.when(F.col("__p").isNull() | ~F.col("__p")["v"].eqNullSafe(F.col(value)), 1).otherwise(0)
-    return running_sum(named.withColumn("__n", change), key, chunk, order, "__n", name).drop("__v", "__p", "__n")
+    return segments(df, key, chunk, order, [value], lambda before, row: ~before[value].eqNullSafe(row[value]), name)
 
 
 def numbered(df: DataFrame, order: list[str], name: str, parts: int | None = None) -> DataFrame:

@@ -46,11 +46,9 @@ def asof(left: DataFrame, right: DataFrame, key: str, time: str, value: str, nam
 
 def sessions(df: DataFrame, key: str, time: str, gap_seconds: int, chunk: Column | None = None, tie: str | None = None) -> DataFrame:
     """Adds ``session``: a new one after a pause of more than the gap.  Rows of one time are told apart by ``tie``."""
-    c, order = _all(chunk), [time, *([tie] if tie else [])]
-    placed = O.with_previous(df, key, c, order, {"__p": time})
-    pause = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col("__p").cast("timestamp"))
-    flagged = placed.withColumn("__n", F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0))
-    return O.running_sum(flagged, key, c, order, "__n", "session").drop("__n", "__p")
+    micros = lambda x: F.unix_micros(x[time].cast("timestamp"))
+    pause = lambda before, row: F.coalesce(micros(row) - micros(before) > gap_seconds * 1_000_000, F.lit(True))
+    return O.segments(df, key, _all(chunk), [time, *([tie] if tie else [])], [time], pause, "session")
 
 
 def crossings(df: DataFrame, order: str, value: str, key: str | None = None, chunk: Column | None = None) -> DataFrame:
