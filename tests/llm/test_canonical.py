@@ -92,7 +92,7 @@ def test_wordings_as_a_table(spark):
 
 
 def test_held_out_wordings():
-    """Of every second wording left out, most are still read by rules and by the words of the others."""
+    """Of wordings left out, which by choice are those that no rule gives, a third and more are still read by the words of the others."""
     import random
 
     every = C.default_wordings()
@@ -103,4 +103,4 @@ def test_held_out_wordings():
         ids = {(f, l): e for e, f, l, _ in FULL}
         right = sum(C.entry_of(books, {}, f, w) == ids[f, l] for f, l, w in left_out)
         wrong = sum(C.entry_of(books, {}, f, w) not in (ids[f, l], "none") for f, l, w in left_out)
-        assert wrong <= 0.25 * len(left_out) and right >= 0
+        assert wrong <= 0.2 * len(left_out) and right >= 0.3 * len(left_out)
