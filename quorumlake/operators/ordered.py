@@ -12,21 +12,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _join(rows: DataFrame, ends: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the columns of the chunk table ``ends`` (__k, __c, ...) of their chunk."""
-    return rows.join(ends, rows[key].eqNullSafe(ends["__k"]) & rows["__chunk"].eqNullSafe(ends["__c"])).drop("__k", "__c")
+def _dealt(df: DataFrame, key: str, chunk: Column) -> DataFrame:
+    """``df`` with ``__g``, the key and chunk of a row as one struct, which is never null and equal where its parts are."""
+    return df.withColumn("__g", F.struct(F.col(key).alias("k"), chunk.alias("c")))
 
 
-def _ends(rows: DataFrame, key: str, *sums: Column) -> DataFrame:
-    return rows.groupBy(F.col(key).alias("__k"), F.col("__chunk").alias("__c")).agg(*sums)
+def _ends(rows: DataFrame, *sums: Column) -> DataFrame:
+    return rows.groupBy("__g").agg(*sums)
 
 
-def _within(key: str, order: list[str]):
-    return Window.partitionBy(key, "__chunk").orderBy(*order)
+def _within(order: list[str]):
+    return Window.partitionBy("__g").orderBy(*order)
 
 
 def _chunks():
-    return Window.partitionBy("__k").orderBy("__c")
+    return Window.partitionBy("__g.k").orderBy("__g.c")
 
 
 def _earlier():
@@ -35,35 +35,35 @@ def _earlier():
 
 def carried(df: DataFrame, key: str, chunk: Column, order: list[str], fill: dict[str, str]) -> DataFrame:
     """Adds for each new: old of ``fill`` the last value of old that is not null at or before the row."""
-    rows = df.withColumn("__chunk", chunk)
-    upto = _within(key, order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = _dealt(df, key, chunk)
+    upto = _within(order).rowsBetween(Window.unboundedPreceding, 0)
     at = F.struct(*order)
     local = rows.withColumns({new: F.last(old, ignorenulls=True).over(upto) for new, old in fill.items()})
-    ends = _ends(rows, key, *(F.max_by(F.col(old), F.when(F.col(old).isNotNull(), at)).alias(f"__e_{new}") for new, old in fill.items()))
-    ends = ends.select("__k", "__c", *(F.last(f"__e_{new}", ignorenulls=True).over(_earlier()).alias(f"__e_{new}") for new in fill))
-    return _join(local, ends, key).withColumns({new: F.coalesce(F.col(new), F.col(f"__e_{new}")) for new in fill}).drop("__chunk", *(f"__e_{new}" for new in fill))
+    ends = _ends(rows, *(F.max_by(F.col(old), F.when(F.col(old).isNotNull(), at)).alias(f"__e_{new}") for new, old in fill.items()))
+    ends = ends.select("__g", *(F.last(f"__e_{new}", ignorenulls=True).over(_earlier()).alias(f"__e_{new}") for new in fill))
+    return local.join(ends, "__g").withColumns({new: F.coalesce(F.col(new), F.col(f"__e_{new}")) for new in fill}).drop("__g", *(f"__e_{new}" for new in fill))
 
 
 def with_previous(df: DataFrame, key: str, chunk: Column, order: list[str], previous: dict[str, str]) -> DataFrame:
     """Adds for each new: old of ``previous`` the value of old in the row before, null in the first row of a key."""
-    rows = df.withColumn("__chunk", chunk)
-    within, at = _within(key, order), F.struct(*order)
+    rows = _dealt(df, key, chunk)
+    within, at = _within(order), F.struct(*order)
     first = F.row_number().over(within) == 1
     local = rows.withColumns({"__first": first, **{new: F.lag(old).over(within) for new, old in previous.items()}})
-    last = _ends(rows, key, F.max_by(F.struct(*[F.col(old).alias(new) for new, old in previous.items()]), at).alias("__tail"))
-    ends = last.select("__k", "__c", F.lag("__tail").over(_chunks()).alias("__before"))
-    joined = _join(local, ends, key)
-    return joined.withColumns({new: F.when(F.col("__first"), F.col("__before")[new]).otherwise(F.col(new)) for new in previous}).drop("__chunk", "__first", "__before")
+    last = _ends(rows, F.max_by(F.struct(*[F.col(old).alias(new) for new, old in previous.items()]), at).alias("__tail"))
+    ends = last.select("__g", F.lag("__tail").over(_chunks()).alias("__before"))
+    joined = local.join(ends, "__g")
+    return joined.withColumns({new: F.when(F.col("__first"), F.col("__before")[new]).otherwise(F.col(new)) for new in previous}).drop("__g", "__first", "__before")
 
 
 def running_sum(df: DataFrame, key: str, chunk: Column, order: list[str], value: str, name: str) -> DataFrame:
     """Adds ``name``: the sum of the values up to the row."""
-    rows = df.withColumn("__chunk", chunk)
-    local = rows.withColumn(name, F.sum(value).over(_within(key, order).rowsBetween(Window.unboundedPreceding, 0)))
-    ends = _ends(rows, key, F.sum(value).alias("__s")).select("__k", "__c", F.sum("__s").over(_earlier()).alias("__base"))
-    joined = _join(local, ends, key)
+    rows = _dealt(df, key, chunk)
+    local = rows.withColumn(name, F.sum(value).over(_within(order).rowsBetween(Window.unboundedPreceding, 0)))
+    ends = _ends(rows, F.sum(value).alias("__s")).select("__g", F.sum("__s").over(_earlier()).alias("__base"))
+    joined = local.join(ends, "__g")
     both = F.coalesce(F.col(name) + F.col("__base"), F.col(name), F.col("__base"))  # of a stretch of nulls the sum is what came before
-    return joined.withColumn(name, both).drop("__chunk", "__base")
+    return joined.withColumn(name, both).drop("__g", "__base")
 
 
 def segments(df: DataFrame, key: str, chunk: Column, order: list[str], values: list[str], opens, name: str) -> DataFrame:
@@ -72,17 +72,17 @@ def segments(df: DataFrame, key: str, chunk: Column, order: list[str], values: l
     opens(before, row) says whether a row opens a segment, from structs of ``values`` of the row before and its own; the first
     row of a key always does.  One window in each chunk; the chunk table says whether a chunk's first row opens one.
     """
-    within, at = _within(key, order), F.struct(*order)
-    rows = df.withColumn("__chunk", chunk).withColumn("__v", F.struct(*values))
+    within, at = _within(order), F.struct(*order)
+    rows = _dealt(df, key, chunk).withColumn("__v", F.struct(*values))
     before = F.lag("__v").over(within)
     local = rows.withColumn("__b", before).withColumn("__n", F.when(F.col("__b").isNull(), 0).otherwise(opens(F.col("__b"), F.col("__v")).cast("int")))
     local = local.withColumn("__s", F.sum("__n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = _ends(local, key, F.min_by("__v", at).alias("__head"), F.max_by("__v", at).alias("__tail"), F.sum("__n").alias("__inside"))
+    ends = _ends(local, F.min_by("__v", at).alias("__head"), F.max_by("__v", at).alias("__tail"), F.sum("__n").alias("__inside"))
     last = F.lag("__tail").over(_chunks())
     ends = ends.withColumn("__first", F.when(last.isNull(), 1).otherwise(opens(last, F.col("__head")).cast("int")))
     base = F.sum(F.col("__first") + F.col("__inside")).over(_chunks().rowsBetween(Window.unboundedPreceding, 0)) - F.col("__inside")
-    joined = _join(local, ends.select("__k", "__c", base.alias("__base")), key)
-    return joined.withColumn(name, F.col("__base") + F.col("__s")).drop("__chunk", "__v", "__b", "__n", "__s", "__base")
+    joined = local.join(ends.select("__g", base.alias("__base")), "__g")
+    return joined.withColumn(name, F.col("__base") + F.col("__s")).drop("__g", "__v", "__b", "__n", "__s", "__base")
 
 
 def run_numbers(df: DataFrame, key: str, chunk: Column, order: list[str], value: str, name: str) -> DataFrame:
