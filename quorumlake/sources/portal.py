@@ -3,8 +3,9 @@
 Register with ``spark.dataSource.register(PortalSource)`` and read with ``spark.read.format("portal")
 .option("path", folder).load()``.  The folder holds <category>/<skip>.json, each a list of events, as the portal's
 pages would be; a category is one partition and its pages are read until one is empty or missing, moving on by the
-rows received, as the portal gives fewer a page than asked for.  More events than the option ``guard`` are an error.
-A filter on the date reaches the reader.
+rows received, as the portal gives fewer a page than asked for.  That ends with the landed files, so a category is read
+whole, however long; only where the option ``guard`` is given are more events than that an error.  A filter on the date
+reaches the reader.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ class Category(InputPartition):
 
 class PortalReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.folder, self.guard = options["path"], int(options.get("guard", "2000"))
+        self.folder, self.guard = options["path"], int(options["guard"]) if "guard" in options else None
         self.since, self.only = "", None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -62,7 +63,7 @@ class PortalReader(DataSourceReader):
     def read(self, partition: Category) -> Iterator[tuple]:
         skip, (where, root) = 0, _files(self.folder)
         while rows := _page(where, f"{root}/{partition.name}/{skip}.json"):
-            if skip >= self.guard:
+            if self.guard is not None and skip >= self.guard:
                 raise ValueError(f"category {partition.name} goes on beyond the guard of {self.guard} events; raise the option guard")
             for r in rows:
                 date = str(r.get("eventDate") or "")[:10]

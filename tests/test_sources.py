@@ -1,9 +1,11 @@
 import json
 
+import duckdb
 import pytest
 
 from pyspark.sql import functions as F
 
+from quorumlake.plans import registry
 from quorumlake.sources import readers, sinks
 from quorumlake.sources.portal import PortalSource
 
@@ -139,3 +141,22 @@ def test_portal_guard(spark, tmp_path):
     with pytest.raises(Exception, match="guard"):
         spark.read.format("portal").option("path", str(tmp_path)).option("guard", "3").load().collect()
     assert spark.read.format("portal").option("path", str(tmp_path)).load().count() == 4
+
+
+def long_category(folder: str, n: int, others: int = 40) -> duckdb.DuckDBPyConnection:
+    """Writes ``n`` meetings of one body, the newest last, and some of another, each tenth delivered twice; gives the SQL side."""
+    con = duckdb.connect()
+    con.sql(f"""CREATE TABLE meetings AS WITH m AS (SELECT i::BIGINT AS id, if(i<={n},'long-council','short-board') AS body, strftime(DATE '2010-01-01'+i::INTEGER,'%Y-%m-%d') AS date, if(i%3=0,NULL,'regular') AS type, (i%400)::INTEGER AS text_chars, TIMESTAMP '2024-01-01' AS loaded_at FROM range(1,{n + others}+1) t(i))
+        FROM m UNION ALL SELECT * REPLACE (text_chars+1 AS text_chars, loaded_at+INTERVAL 1 DAY AS loaded_at) FROM m WHERE id%10=0""")
+    con.sql(f"COPY meetings TO '{folder}/meetings.parquet'")
+    return con
+
+
+def test_portal_events_of_a_long_category(spark, tmp_path):
+    registry.load()
+    con = long_category(str(tmp_path), 2130)
+    events = registry.QUERIES["portal_events"](spark, str(tmp_path))
+    columns = ", ".join(events.columns)
+    mine, theirs = [tuple(r) for r in events.collect()], con.sql(f"SELECT {columns} FROM ({registry.ORACLE['portal_events']})").fetchall()
+    assert len(mine) == 2170
+    assert sorted(map(repr, mine)) == sorted(map(repr, theirs))
