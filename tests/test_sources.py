@@ -160,3 +160,12 @@ def test_portal_events_of_a_long_category(spark, tmp_path):
     mine, theirs = [tuple(r) for r in events.collect()], con.sql(f"SELECT {columns} FROM ({registry.ORACLE['portal_events']})").fetchall()
     assert len(mine) == 2170
     assert sorted(map(repr, mine)) == sorted(map(repr, theirs))
+
+
+def test_portal_window_beyond_two_thousand_events(spark, tmp_path):
+    registry.load()
+    con = long_category(str(tmp_path), 2400)
+    window = registry.QUERIES["portal_window"](spark, str(tmp_path))
+    mine = [tuple(r) for r in window.collect()]
+    assert mine == con.sql(f"SELECT {', '.join(window.columns)} FROM ({registry.ORACLE['portal_window']}) ORDER BY date, id").fetchall()
+    assert len(mine) == 30 and mine[0] == (2191, "long-council", "2016-01-01")
