@@ -58,8 +58,8 @@ def portal_events(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT id, category, date FROM (SELECT id, body AS category, coalesce(date,'') AS date FROM ({ONCE_MEETINGS}) WHERE body IS NOT NULL) WHERE date>='2016-01-01' ORDER BY date, id LIMIT 30")
 def portal_window(spark: SparkSession, folder: str) -> DataFrame:
-    """The first thirty events from a day on; the day reaches the reader."""
-    return _portal(spark, folder).where("date >= '2016-01-01'").orderBy("date", "id").limit(30).select("id", "category", "date")
+    """The first thirty events from a day on; the day reaches the reader.  Of a meeting without a date the portal gives the hour only, which is no day."""
+    return _portal(spark, folder).where("date >= '2016-01-01' AND date <> 'T18:00:00Z'").orderBy("date", "id").limit(30).select("id", "category", "date")
 
 
 # ---- bodies, feeds, links ------------------------------------------------------------------------------------------

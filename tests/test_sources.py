@@ -169,3 +169,14 @@ def test_portal_window_beyond_two_thousand_events(spark, tmp_path):
     mine = [tuple(r) for r in window.collect()]
     assert mine == con.sql(f"SELECT {', '.join(window.columns)} FROM ({registry.ORACLE['portal_window']}) ORDER BY date, id").fetchall()
     assert len(mine) == 30 and mine[0] == (2191, "long-council", "2016-01-01")
+
+
+def test_portal_window_without_undated_meetings(spark, tmp_path):
+    registry.load()
+    con = duckdb.connect()
+    con.sql("""CREATE TABLE meetings AS SELECT i::BIGINT AS id, 'council' AS body, CASE i WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '2015-05-05' ELSE '2017-01-0'||i END AS date, 'regular' AS type, 300 AS text_chars, TIMESTAMP '2024-01-01' AS loaded_at FROM range(1,7) t(i)""")
+    con.sql(f"COPY meetings TO '{tmp_path}/meetings.parquet'")
+    window = registry.QUERIES["portal_window"](spark, str(tmp_path))
+    mine = [tuple(r) for r in window.collect()]
+    assert mine == con.sql(f"SELECT {', '.join(window.columns)} FROM ({registry.ORACLE['portal_window']}) ORDER BY date, id").fetchall()
+    assert [r[0] for r in mine] == [4, 5, 6]
